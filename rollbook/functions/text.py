@@ -21,13 +21,20 @@ def strip_whitespace(c: Column) -> Column:
     return F.trim(c, F.lit(WHITESPACE))
 
 
-def clean_cell(c: Column, sentinels: tuple[str, ...] = NULL_SENTINELS) -> Column:
-    """Stripped text, or null where nothing or only a "no value" marker is left.
+def null_if_marker(stripped: Column, sentinels: tuple[str, ...] = NULL_SENTINELS) -> Column:
+    """Null where the stripped text is empty or a "no value" marker.
 
-    The comparison is exact and case-sensitive, so ``na`` stays.
+    The comparison is exact and case-sensitive, so ``na`` stays. A set lookup on one literal keeps the
+    generated code of wide tables small; markers must not contain a comma.
     """
-    stripped = strip_whitespace(c)
-    return F.when(~stripped.isin("", *sentinels), stripped)
+    if not sentinels:
+        return F.nullif(stripped, F.lit(""))
+    return F.when(F.find_in_set(stripped, F.lit(",".join(sentinels) + ",")) == 0, stripped)
+
+
+def clean_cell(c: Column, sentinels: tuple[str, ...] = NULL_SENTINELS) -> Column:
+    """Stripped text, or null where nothing or only a "no value" marker is left."""
+    return null_if_marker(strip_whitespace(c), sentinels)
 
 
 def null_if_blank(c: Column) -> Column:
@@ -165,7 +172,7 @@ def resolve_url(base: Column, href: Column) -> Column:
     return (
         F.when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(url_scheme(base), F.lit(":"), href))
-        .when(href == "", no_fragment)
+        .when(href == "", base)
         .when(href.startswith("#"), F.concat(no_fragment, href))
         .when(href.startswith("?"), F.concat(no_query, href))
         .otherwise(F.concat(origin, resolved, suffix))

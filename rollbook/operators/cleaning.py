@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rollbook.functions.text import NULL_SENTINELS, clean_cell, is_present
+from rollbook.functions.text import NULL_SENTINELS, is_present, null_if_marker, strip_whitespace
 from rollbook.sources.registry import Layout
 
 # Row states after cleaning.
@@ -20,11 +20,13 @@ def clean_cells(
 
     The markers apply to every column, key columns too. Columns in ``null_exempt_columns`` keep them.
     """
-    columns = df.columns if columns is None else columns
+    columns = set(df.columns if columns is None else columns)
     exempt = set(null_exempt_columns)
-    return df.select(
+    # Two steps, so that a cell is stripped once although the second step looks at it twice.
+    stripped = df.select(*[strip_whitespace(F.col(c)).alias(c) if c in columns else F.col(c) for c in df.columns])
+    return stripped.select(
         *[
-            (clean_cell(F.col(c), () if c in exempt else NULL_SENTINELS).alias(c) if c in columns else F.col(c))
+            null_if_marker(F.col(c), () if c in exempt else NULL_SENTINELS).alias(c) if c in columns else F.col(c)
             for c in df.columns
         ]
     )

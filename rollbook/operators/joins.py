@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 # A key is hot when one task would get several times its fair share because of it.
 MAX_HOT_KEYS = 1000
 TRACKED_KEYS = 50_000
-HOT_FACTOR = 4
+HOT_FACTOR = 2
 MIN_HOT_ROWS = 1_000_000
 
 
@@ -29,16 +29,19 @@ def hot_keys(
 
 
 def join_unique(
-    facts: DataFrame, dim: DataFrame, key: str, how: str = "inner", min_hot_rows: int = MIN_HOT_ROWS
+    facts: DataFrame, dim: DataFrame, key: str, how: str = "inner", min_hot_rows: int = MIN_HOT_ROWS,
+    hot: list | None = None,
 ) -> DataFrame:
     """Join many facts to a table that is unique on ``key`` (``how``: inner or left).
 
     Without hot keys this is Spark's own join, which picks broadcast or sort-merge by size. Rows of hot
     keys go another way: their partners are at most one row per hot key, so that small part is
     broadcast and the hot rows are not shuffled at all. If the partners are more than that (``dim``
-    not unique after all) the plain join is used.
+    not unique after all) the plain join is used. ``hot`` gives the hot keys if they are known already,
+    for instance from the bare table behind ``facts``.
     """
-    hot = hot_keys(facts, key, min_rows=min_hot_rows)
+    if hot is None:
+        hot = hot_keys(facts, key, min_rows=min_hot_rows)
     if not hot:
         return facts.join(dim, key, how)
     hot_dim = dim.filter(F.col(key).isin(hot))

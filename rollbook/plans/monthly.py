@@ -10,17 +10,19 @@ import argparse
 import json
 import logging
 import sys
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rollbook.functions.keys import key_present
+from rollbook.functions.text import file_name
 from rollbook.functions.status import FAILED, PENDING, RUNNING, SUCCESS
 from rollbook.operators import checks, cleaning, drops, ledger, merge
 from rollbook.plans.serving import SERVING_COLUMNS, build_serving, laid_out
-from rollbook.session import build_session
+from rollbook.session import build_session, work_dir
 from rollbook.sources import archives, raw_files
 from rollbook.sources.registry import (
     LAYOUTS, MERGE, REPLACE, REPLACE_KEYED, Layout, stamped_schema,
@@ -32,6 +34,8 @@ log = logging.getLogger("rollbook.load")
 
 METRIC_SCHEMA = "table string, rows bigint, skipped_empty bigint, skipped_invalid_required bigint, files bigint, note string"
 LOAD_SCHEMA = "table string, inserted bigint, updated bigint, deleted bigint"
+# Tables worked on at the same time.
+PARALLEL_TABLES = 6
 MERGED_SUFFIX = [T.StructField("op", T.StringType())]
 
 
@@ -65,9 +69,11 @@ def current_schema(layout: Layout) -> T.StructType:
     return layout.schema
 
 
-def current_rows(folder: TableFolder, layout: Layout) -> DataFrame | None:
+def current_rows(
+    folder: TableFolder, layout: Layout, versions: Mapping[str, str] | None = None
+) -> DataFrame | None:
     """Published rows of a table; rows a merge deleted are left out by their partition."""
-    df = folder.current(layout.name, current_schema(layout))
+    df = folder.current(layout.name, current_schema(layout), versions)
     return merge.snapshot(df) if df is not None and layout.policy == MERGE else df
 
 
@@ -87,13 +93,12 @@ def transform(
     Every row is written once with its state as partition; the counters come from what was written, so
     a repeated task cannot count twice. A table without a file is left out with a note.
     """
-    reports = []
-    for name, layout in options.layouts.items():
-        paths = sources.get(name)
+
+    def one(layout: Layout) -> tuple:
+        paths = sources.get(layout.name)
         if not paths:
-            log.warning("%s: no file in the drop, the current table stays", name)
-            reports.append((name, 0, 0, 0, 0, "no file"))
-            continue
+            log.warning("%s: no file in the drop, the current table stays", layout.name)
+            return (layout.name, 0, 0, 0, 0, "no file")
         multi_line, blank = options.multi_line, 0
         if multi_line is None:
             # One short row per file. Blank lines never become rows; where no field spans lines they are
@@ -104,12 +109,17 @@ def transform(
         raw_rows = raw_files.scan_raw(spark, paths, layout, multi_line)
         cleaned = cleaning.clean_cells(raw_rows, layout.columns, options.null_exempt_columns)
         classified = cleaning.classify_rows(cleaned, layout.columns, layout.required)
-        written = folder.write(f"curated/{name}", options.run_key, classified, ["row_state"])
+        written = folder.write(f"curated/{layout.name}", options.run_key, classified, ["row_state"])
         m = cleaning.clean_metrics(written).first()
-        reports.append(
-            (name, m["rows"], m["skipped_empty"] + blank, m["skipped_invalid_required"], len(paths), None)
-        )
-    return spark.createDataFrame(reports, METRIC_SCHEMA)
+        return (layout.name, m["rows"], m["skipped_empty"] + blank, m["skipped_invalid_required"], len(paths), None)
+
+    return spark.createDataFrame(side_by_side(one, options.layouts.values()), METRIC_SCHEMA)
+
+
+def side_by_side(work: Callable, items: Iterable) -> list:
+    """Results of ``work`` for independent tables, a few at a time, so that small ones fill idle cores."""
+    with ThreadPoolExecutor(PARALLEL_TABLES) as pool:
+        return list(pool.map(work, items))
 
 
 def curated_rows(folder: TableFolder, layout: Layout, run_key: str) -> DataFrame | None:
@@ -118,56 +128,71 @@ def curated_rows(folder: TableFolder, layout: Layout, run_key: str) -> DataFrame
     return None if rows is None else rows.filter(F.col("row_state") == cleaning.KEPT).drop("row_state")
 
 
-def load_table(folder: TableFolder, layout: Layout, staging: DataFrame, options: Options) -> tuple[str, int, int, int]:
-    """Merge or replace one table and publish it if all checks pass."""
-    version = folder.new_version(options.run_key)
-    if options.check_lengths:
-        checks.require_lengths(staging, layout.lengths, layout.name)
-    if layout.key:
+def load_table(
+    folder: TableFolder, layout: Layout, staging: DataFrame, options: Options, versions: Mapping[str, str]
+) -> tuple[str, tuple[str, int, int, int]]:
+    """Check one table and write its next version; returns that version and the counters."""
+    name, merging = layout.name, layout.policy == MERGE
+    main = current_rows(folder, layout, versions) if merging else None
+    lengths = layout.lengths if options.check_lengths else {}
+    report = checks.staging_report(main, staging, layout.key, lengths).first()
+    if checks.too_small(report["main_rows"], report["staging_rows"], options.min_ratio):
+        raise checks.volume_failed(name, report["main_rows"], report["staging_rows"], options.min_ratio)
+    if report["long_rows"]:
+        checks.require_lengths(staging, lengths, name)
+    if report["duplicate_keys"]:
         keyed = staging.filter(key_present(layout.key))
         if options.on_duplicate == "error":
-            checks.require_unique(keyed, layout.key, layout.name)
-    if layout.policy == MERGE:
-        main = current_rows(folder, layout)
+            checks.require_unique(keyed, layout.key, name)
+        staging = checks.keep_first(keyed, layout.key, layout.data_columns)
+
+    version = folder.new_version(options.run_key)
+    if merging:
         if main is None:
             main = folder.spark.createDataFrame([], stamped_schema(layout))
-        checks.require_volume(main, staging, layout.name, options.min_ratio)
-        if options.on_duplicate == "first":
-            staging = checks.keep_first(keyed, layout.key, layout.data_columns)
         merged = merge.three_way_merge(
             main, staging, layout.key, layout.data_columns, options.run_key, options.stamp
         ).select(*[f.name for f in current_schema(layout).fields])
-        written = folder.write(layout.name, version, merged, ["op"])
-        counts = merge.merge_counts(written).first()
-        result = (layout.name, counts["inserted"], counts["updated"], counts["deleted"])
+        counts = merge.merge_counts(folder.write(name, version, merged, ["op"])).first()
+        return version, (name, counts["inserted"], counts["updated"], counts["deleted"])
+    if layout.policy == REPLACE:
+        new = merge.replace_all(staging, layout.columns, options.run_key, options.stamp, "id")
+    elif layout.policy == REPLACE_KEYED:
+        new = merge.replace_key_present(staging, layout.key, layout.columns, options.run_key, options.stamp)
     else:
-        if layout.key and options.on_duplicate == "first":
-            staging = checks.keep_first(keyed, layout.key, layout.data_columns)
-        if layout.policy == REPLACE:
-            new = merge.replace_all(staging, layout.columns, options.run_key, options.stamp, "id")
-        elif layout.policy == REPLACE_KEYED:
-            new = merge.replace_key_present(staging, layout.key, layout.columns, options.run_key, options.stamp)
-        else:
-            new = merge.replace_lookup(staging, layout.columns)
-        written = folder.write(layout.name, version, new)
-        result = (layout.name, written.count(), 0, 0)
-    folder.publish(layout.name, version, options.run_key)
-    return result
+        new = merge.replace_lookup(staging, layout.columns)
+    return version, (name, folder.write(name, version, new).count(), 0, 0)
 
 
 def load(spark: SparkSession, folder: TableFolder, options: Options, tables: list[str] | None = None) -> DataFrame:
-    """Load every curated table; unknown names are skipped with a warning. Returns the counters."""
-    results = []
+    """Load every curated table; unknown names are skipped with a warning. Returns the counters.
+
+    Tables that passed are published even if another one fails, which is then reported.
+    """
+    versions = folder.current_versions()
+    wanted = []
     for name in tables if tables is not None else list(options.layouts):
-        layout = options.layouts.get(name)
-        if layout is None:
+        if name in options.layouts:
+            wanted.append(options.layouts[name])
+        else:
             log.warning("%s: unknown table, skipped", name)
-            continue
+
+    def one(layout: Layout) -> tuple:
         staging = curated_rows(folder, layout, options.run_key)
         if staging is None:
-            continue
-        results.append(load_table(folder, layout, staging, options))
-    return spark.createDataFrame(results, LOAD_SCHEMA)
+            return layout.name, None, None
+        try:
+            version, counts = load_table(folder, layout, staging, options, versions)
+        except Exception as exc:
+            return layout.name, None, exc
+        return layout.name, version, counts
+
+    done = side_by_side(one, wanted)
+    folder.publish({name: version for name, version, _ in done if version}, options.run_key)
+    failures = [(name, result) for name, _, result in done if isinstance(result, Exception)]
+    if failures:
+        raise checks.CheckFailed("; ".join(str(exc) for _, exc in failures)) from failures[0][1]
+    return spark.createDataFrame([counts for _, version, counts in done if version], LOAD_SCHEMA)
 
 
 SERVING = "serving"
@@ -175,11 +200,12 @@ SERVING = "serving"
 
 def refresh_serving(folder: TableFolder, options: Options) -> int:
     """Rebuild the serving table; readers keep the old version until the new one is complete."""
-    tables = {name: current_rows(folder, layout) for name, layout in LAYOUTS.items()}
+    versions = folder.current_versions()
+    tables = {name: current_rows(folder, layout, versions) for name, layout in LAYOUTS.items()}
     version = folder.new_version(options.run_key)
     written = folder.write(SERVING, version, laid_out(build_serving(tables)), ["uf"])
     checks.require_rows(written, SERVING)
-    folder.publish(SERVING, version, options.run_key)
+    folder.publish({SERVING: version}, options.run_key)
     return written.count()
 
 
@@ -193,8 +219,13 @@ def serving_rows(folder: TableFolder) -> DataFrame | None:
 
 def verify_archives(spark: SparkSession, folder: str, names: DataFrame) -> DataFrame:
     """Integrity of the expected archives; raises if one is missing or damaged."""
-    files = raw_files.list_files(spark, folder).filter(F.lower("name").endswith(".zip"))
-    report = archives.check_expected(names, archives.check_files(files))
+    paths = names.select(F.concat(F.lit(folder.rstrip("/") + "/"), "name").alias("path"))
+    # Every archive is read once: the report is written before anything looks at it.
+    written = work_dir(spark, "archive-check")
+    archives.check_files(paths).write.parquet(written)
+    report = spark.read.parquet(written).select(
+        file_name(F.col("path")).alias("name"), F.col("error").isNull().alias("ok"), "sha256", "error"
+    )
     bad = report.filter(~F.col("ok")).limit(20).collect()
     if bad:
         raise checks.CheckFailed("damaged archives: " + "; ".join(f"{r['name']}: {r['error']}" for r in bad))
@@ -261,13 +292,15 @@ def run_load(
 
     steps: list[tuple[str, Callable[[], object]]] = []
     if archive_folder:
-        listing = raw_files.list_files(spark, archive_folder).select("path", "name", F.col("length").alias("size"))
-        chosen = drops.wanted_files(listing)
-        if max_files is not None:
-            chosen = drops.smallest_files(chosen, max_files)
+
+        def chosen() -> DataFrame:
+            listing = raw_files.list_files(spark, archive_folder)
+            found = drops.wanted_files(listing.withColumnRenamed("length", "size"))
+            return found if max_files is None else drops.smallest_files(found, max_files)
+
         steps += [
-            ("verify", lambda: metrics("verify", verify_archives(spark, archive_folder, chosen.select("name")))),
-            ("extract", lambda: metrics("extract", archives.extract_files(chosen, raw))),
+            ("verify", lambda: metrics("verify", verify_archives(spark, archive_folder, chosen().select("name")))),
+            ("extract", lambda: metrics("extract", archives.extract_files(chosen(), raw))),
         ]
 
     def transform_step() -> str:

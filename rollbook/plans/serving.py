@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from rollbook.functions.keys import composite_key
-from rollbook.operators.joins import MIN_HOT_ROWS, decode, join_unique
+from rollbook.operators.joins import MIN_HOT_ROWS, decode, hot_keys, join_unique
 
 # Column order of the serving table.
 SERVING_COLUMNS = (
@@ -64,10 +64,11 @@ def build_serving(tables: Mapping[str, DataFrame | None], min_hot_rows: int = MI
         company = company.join(regime.select("cnpj_basico", *TAX_REGIME_COLUMNS), "cnpj_basico", "left")
     company = _decoded(company, tables, COMPANY_CODES)
 
+    hot = hot_keys(tables["estabelecimentos"], "cnpj_basico", min_rows=min_hot_rows)
     branch = tables["estabelecimentos"].drop("run_key", "created_at", "updated_at")
     branch = _decoded(branch, tables, BRANCH_CODES)
 
-    wide = join_unique(branch, company, "cnpj_basico", "inner", min_hot_rows=min_hot_rows)
+    wide = join_unique(branch, company, "cnpj_basico", "inner", hot=hot)
     wide = wide.withColumn("cnpj_completo", composite_key("cnpj_basico", "cnpj_ordem", "cnpj_dv"))
     return wide.select(*SERVING_COLUMNS)
 

@@ -11,6 +11,7 @@ import posixpath
 import sys
 import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
 from contextlib import closing
 
@@ -47,6 +48,9 @@ def _problem(stream) -> str | None:
             bad = archive.testzip()
     except zipfile.BadZipFile as exc:
         return f"bad ZIP file: {exc}"
+    except (ValueError, EOFError, zlib.error) as exc:
+        # Too short to be an archive, or cut off within a member.
+        return f"bad ZIP file: {exc}"
     return f"corrupt member in ZIP: {bad}" if bad else None
 
 
@@ -73,6 +77,17 @@ def check_contents(archives: DataFrame) -> DataFrame:
     )
 
 
+MAX_TASKS = 20_000
+
+
+def one_per_task(df: DataFrame, column: str) -> DataFrame:
+    """Spread a short list over as many tasks as it has rows.
+
+    The number is given, because adaptive execution would merge partitions this small into one task.
+    """
+    return df.repartitionByRange(min(max(df.count(), 1), MAX_TASKS), column)
+
+
 def check_files(paths: DataFrame) -> DataFrame:
     """The same check on files named by ``path``, streamed, so archives may exceed memory."""
 
@@ -97,7 +112,7 @@ def check_files(paths: DataFrame) -> DataFrame:
                         digest = sha.hexdigest()
                 yield pd.DataFrame({"path": [path], "error": [error], "sha256": [digest]})
 
-    return paths.select("path").mapInPandas(check, CHECK_SCHEMA)
+    return one_per_task(paths.select("path"), "path").mapInPandas(check, CHECK_SCHEMA)
 
 
 def check_expected(expected: DataFrame, checked: DataFrame) -> DataFrame:
@@ -148,7 +163,7 @@ def list_members(paths: DataFrame) -> DataFrame:
                     }
                 )
 
-    return paths.select("path").mapInPandas(members, MEMBER_SCHEMA)
+    return one_per_task(paths.select("path"), "path").mapInPandas(members, MEMBER_SCHEMA)
 
 
 def extract_files(paths: DataFrame, target: str) -> DataFrame:
@@ -165,7 +180,7 @@ def extract_files(paths: DataFrame, target: str) -> DataFrame:
         .agg(F.min(F.struct("path", "position", "member")).alias("first"))
         .select("name", "first.path", "first.position")
     )
-    spread = chosen.repartition(F.col("name"))
+    spread = one_per_task(chosen, "name")
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

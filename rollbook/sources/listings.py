@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rollbook.functions.text import bare_etag, is_directory, last_segment, long_or_zero, resolve_url
+from rollbook.functions.text import bare_etag, is_directory, last_segment, long_or_zero, resolve_url, strip_whitespace
 
 # Fields of a drop manifest, path prefix and element names of a folder listing.
 LISTING_PREFIX = "/public.php/webdav/"
@@ -60,7 +60,7 @@ def listing_hrefs(xml: Column, root: str = LISTING_PREFIX) -> Column:
     hrefs = F.regexp_extract_all(xml, F.lit(r"<d:href>(.*?)</d:href>"), F.lit(1))
     bare = root.rstrip("/")
     return F.filter(
-        F.transform(hrefs, F.trim), lambda h: ~(h.endswith(bare + "/") | h.endswith(bare))
+        F.transform(hrefs, lambda h: strip_whitespace(h)), lambda h: ~(h.endswith(bare + "/") | h.endswith(bare))
     )
 
 

@@ -8,7 +8,7 @@ until the new ones are complete, and a job that dies half way leaves nothing vis
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -50,24 +50,31 @@ class TableFolder:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.parquet(self.path(table, version))
 
-    def publish(self, table: str, version: str, run_key: str) -> None:
-        row = [(table, version, run_key, datetime.now(timezone.utc))]
-        self.spark.createDataFrame(row, PUBLICATION_SCHEMA).coalesce(1).write.mode("append").parquet(
+    def publish(self, versions: Mapping[str, str], run_key: str) -> None:
+        """Make versions (by table) current, all with one append."""
+        if not versions:
+            return
+        now = datetime.now(timezone.utc)
+        rows = [(table, version, run_key, now) for table, version in versions.items()]
+        self.spark.createDataFrame(rows, PUBLICATION_SCHEMA).coalesce(1).write.mode("append").parquet(
             f"{self.root}/publications"
         )
 
     def publications(self) -> DataFrame | None:
         return read_if_there(self.spark, f"{self.root}/publications", PUBLICATION_SCHEMA)
 
-    def current_version(self, table: str) -> str | None:
+    def current_versions(self) -> dict[str, str]:
+        """Current version by table: one short row per table."""
         log = self.publications()
         if log is None:
-            return None
-        return log.filter(F.col("table") == table).agg(F.max_by("version", "published_at")).first()[0]
+            return {}
+        return {r[0]: r[1] for r in log.groupBy("table").agg(F.max_by("version", "published_at")).collect()}
 
-    def current(self, table: str, schema: T.StructType | None = None) -> DataFrame | None:
+    def current(
+        self, table: str, schema: T.StructType | None = None, versions: Mapping[str, str] | None = None
+    ) -> DataFrame | None:
         """The published rows, or None before the first load."""
-        version = self.current_version(table)
+        version = (self.current_versions() if versions is None else versions).get(table)
         return None if version is None else self.read(table, version, schema)
 
 

@@ -114,8 +114,8 @@ def bad_key_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "typed_fields",
-    f"SELECT o_orderkey, CAST(o_orderdate AS DATE) AS opened, CAST(NULL AS DATE) AS not_a_date, "
-    "CAST(o_totalprice AS DECIMAL(18,2)) AS capital, CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS closed "
+    "SELECT o_orderkey, strftime(o_orderdate, '%d.%m.%Y') AS opened, CAST(NULL AS VARCHAR) AS not_a_date, "
+    "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS capital, CASE o_orderstatus WHEN 'F' THEN 'true' WHEN 'O' THEN 'false' END AS closed "
     "FROM orders",
 )
 def typed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,10 +129,10 @@ def typed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return text.select(
         "o_orderkey",
-        typed.compact_date(F.col("day")).alias("opened"),
-        typed.compact_date(F.col("other")).alias("not_a_date"),
-        typed.comma_money(F.col("money")).alias("capital"),
-        typed.yes_no(F.col("flag")).alias("closed"),
+        F.date_format(typed.compact_date(F.col("day")), "dd.MM.yyyy").alias("opened"),
+        F.date_format(typed.compact_date(F.col("other")), "dd.MM.yyyy").alias("not_a_date"),
+        typed.comma_money(F.col("money")).cast("string").alias("capital"),
+        typed.yes_no(F.col("flag")).cast("string").alias("closed"),
     )
 
 
@@ -252,7 +252,7 @@ def publish_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
             old_reader = folder.current("orders")
             before = old_reader.agg(F.count("*").alias("before_rows"))
             before = before.first()["before_rows"]
-        folder.publish("orders", version, run_key)
+        folder.publish({"orders": version}, run_key)
     after = folder.current("orders").agg(F.count("*").alias("after_rows"))
     return after.select(
         F.lit(before).cast("bigint").alias("before_rows"), "after_rows",

@@ -188,7 +188,14 @@ def listing_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("<d:getlastmodified>Sun, 01 Mar 2026 00:00:00 GMT</d:getlastmodified><d:getetag>&quot;"), "etag",
         F.lit("&quot;</d:getetag></d:prop><d:status>HTTP/1.1 200 OK</d:status></d:propstat></d:response>"),
     )
-    _files(spark, sf_dir).select(answer.alias("value")).write.mode("overwrite").text(path)
+    def enclose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """One listing document per part file."""
+        yield pd.DataFrame({"value": ['<?xml version="1.0"?><d:multistatus xmlns:d="DAV:">']})
+        yield from batches
+        yield pd.DataFrame({"value": ["</d:multistatus>"]})
+
+    answers = _files(spark, sf_dir).select(answer.alias("value")).mapInPandas(enclose, "value string")
+    answers.write.mode("overwrite").text(path)
     return listings.read_listing(spark, path)
 
 
