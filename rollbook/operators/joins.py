@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 # A key is hot when one task would get several times its fair share because of it.
 MAX_HOT_KEYS = 1000
-TRACKED_KEYS = 50_000
+TRACKED_KEYS = 8192
 HOT_FACTOR = 2
 MIN_HOT_ROWS = 1_000_000
+SKETCH_GROUPS = 256
 
 
 def hot_keys(
@@ -17,15 +18,24 @@ def hot_keys(
     """Heaviest keys of ``df``, at most ``MAX_HOT_KEYS``.
 
     One pass over the key column with a mergeable sketch: each task sends its sketch, no row is
-    shuffled. Which keys come back decides only how rows are routed, never the result.
+    shuffled. Sketches are merged in groups and only the groups' heaviest keys are added up, so that no
+    task gets all of them. Which keys come back decides only how rows are routed, never the result.
     """
     if partitions is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    row = df.agg(
+    groups = df.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("g")).agg(
         F.count(key).alias("n"), F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {TRACKED_KEYS})").alias("top")
-    ).first()
-    least = max(min_rows, HOT_FACTOR * (row["n"] or 0) / partitions)
-    return [t["item"] for t in row["top"] or [] if t["item"] is not None and t["count"] >= least]
+    )
+    # The total rides along under the null key, which the sketch does not count.
+    total = F.struct(F.lit(None).cast(df.schema[key].dataType).alias("item"), F.col("n").alias("count"))
+    found = (
+        groups.select(F.inline(F.concat(F.array(total), "top")))
+        .groupBy("item").agg(F.sum("count").alias("count"))
+        .orderBy(F.desc("count")).limit(MAX_HOT_KEYS + 1).collect()
+    )
+    n = sum(r["count"] for r in found if r["item"] is None)
+    least = max(min_rows, HOT_FACTOR * n / partitions)
+    return [r["item"] for r in found if r["item"] is not None and r["count"] >= least]
 
 
 def join_unique(

@@ -26,6 +26,15 @@ def _latest(columns: Sequence[str], order: Sequence[str]) -> Column:
     return F.max_by(F.struct(*columns), F.struct(*order))
 
 
+# Step name under which a run as a whole is recorded.
+WHOLE_RUN = "run"
+
+
+def whole_runs(events: DataFrame) -> DataFrame:
+    """The events that tell about runs, not about their steps."""
+    return events.filter(F.col("step_name") == WHOLE_RUN)
+
+
 def step_rollup(events: DataFrame, order: Sequence[str] = ("ts", "seq")) -> DataFrame:
     """Per job and step: last status, error and artifact, number of writes and of starts, last times.
 

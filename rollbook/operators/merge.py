@@ -61,8 +61,12 @@ def inserted_rows(main: DataFrame, staging: DataFrame, key: Sequence[str]) -> Da
 
 
 def deleted_rows(main: DataFrame, staging: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Current rows whose key the dump no longer has."""
-    return main.join(staging.select(*key), list(key), "left_anti")
+    """Current rows whose key the dump no longer has.
+
+    Dump keys are made distinct first, which happens before the shuffle too: blank or repeated keys, however
+    many, arrive as one row per task. Null keys match nothing and are left out.
+    """
+    return main.join(staging.select(*key).dropna().distinct(), list(key), "left_anti")
 
 
 def updated_rows(main: DataFrame, staging: DataFrame, key: Sequence[str], data: Sequence[str]) -> DataFrame:

@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rollbook.functions.text import contains_ci, digits_only
+from rollbook.operators.joins import MIN_HOT_ROWS, join_unique
 
 # Page size of a search, number of branches listed, key lengths.
 DEFAULT_LIMIT, MAX_LIMIT, MAX_BRANCHES = 20, 100, 100
@@ -86,23 +87,27 @@ def list_branches(serving: DataFrame, base_key: str, limit: int = MAX_BRANCHES)
     return serving.filter(F.col("cnpj_basico") == base_key).orderBy("cnpj_ordem", "cnpj_dv").limit(limit)
 
 
-def bulk_lookup(serving: DataFrame, keys: DataFrame, key: str = "key") -> DataFrame:
+def bulk_lookup(
+    serving: DataFrame, keys: DataFrame, key: str = "key", min_hot_rows: int = MIN_HOT_ROWS
+) -> DataFrame:
     """Look up a whole column of keys as typed: ``status`` is found, not_found or invalid.
 
     Full and base keys are two equi-joins instead of one OR condition, which would compare all pairs.
     The first branch per company is taken before the join, with the minimum combined ahead of the
-    shuffle, so a company with very many branches is never gathered in one task.
+    shuffle, so a company with very many branches is never gathered in one task. A key that very many
+    rows ask for takes the path for hot keys in ``join_unique``.
     """
     digits = digits_only(F.col(key))
     asked = keys.select(F.col(key), digits.alias("__k"), F.length(digits).alias("__n"))
     records = serving.select("cnpj_completo", "cnpj_basico", F.struct(*serving.columns).alias("record"))
     firsts = records.groupBy("cnpj_basico").agg(F.min_by("record", "cnpj_completo").alias("record"))
-    valid = asked.filter(F.col("__n").isin(BASE_LENGTH, FULL_LENGTH))
-    by_full = valid.filter(F.col("__n") == FULL_LENGTH).join(
-        records.select(F.col("cnpj_completo").alias("__k"), "record"), "__k", "left"
+    by_full = join_unique(
+        asked.filter(F.col("__n") == FULL_LENGTH), records.select(F.col("cnpj_completo").alias("__k"), "record"),
+        "__k", "left", min_hot_rows=min_hot_rows,
     )
-    by_base = valid.filter(F.col("__n") == BASE_LENGTH).join(
-        firsts.select(F.col("cnpj_basico").alias("__k"), "record"), "__k", "left"
+    by_base = join_unique(
+        asked.filter(F.col("__n") == BASE_LENGTH), firsts.select(F.col("cnpj_basico").alias("__k"), "record"),
+        "__k", "left", min_hot_rows=min_hot_rows,
     )
     wrong = asked.filter(~F.coalesce(F.col("__n").isin(BASE_LENGTH, FULL_LENGTH), F.lit(False)))
     status = F.when(F.col("record").isNotNull(), "found").otherwise("not_found")

@@ -10,10 +10,11 @@ from rollbook.functions.text import contains_ci
 
 
 def trigrams(c: Column) -> Column:
-    """Distinct three-letter pieces of the lower-cased text; none for shorter text."""
-    lower = F.lower(c)
-    pieces = F.transform(F.sequence(F.lit(1), F.length(lower) - 2), lambda i: F.substring(lower, i, F.lit(3)))
-    return F.when(F.length(lower) >= 3, F.array_distinct(pieces))
+    """Distinct three-letter pieces of the lower-cased text; none for shorter text.
+
+    One scan of the text: the pattern matches between letters and looks ahead for the next three.
+    """
+    return F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit("(?s)(?=(...))"), F.lit(1)))
 
 
 def build_index(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

@@ -18,8 +18,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rollbook.functions.keys import key_present
+from rollbook.functions.status import DEAD, FAILED, MAX_ATTEMPTS, PENDING, RUNNING, SUCCESS
 from rollbook.functions.text import file_name
-from rollbook.functions.status import FAILED, PENDING, RUNNING, SUCCESS
 from rollbook.operators import checks, cleaning, drops, ledger, merge
 from rollbook.plans.serving import SERVING_COLUMNS, build_serving, laid_out
 from rollbook.session import build_session, work_dir
@@ -245,26 +245,31 @@ class LoadFailed(RuntimeError):
 
 
 def run_steps(
-    events: RunEvents, job_id: str, run_key: str, steps: list[tuple[str, Callable[[], object]]], force: bool = False
+    events: RunEvents, job_id: str, run_key: str, steps: list[tuple[str, Callable[[], object]]], force: bool = False,
+    max_attempts: int = MAX_ATTEMPTS,
 ) -> None:
     """Run the steps in order, leaving out those that succeeded since the job was last requeued."""
-    rollup = ledger.step_rollup(ledger.since_requeue(events.read()))
+    rollup = ledger.step_rollup(ledger.since_requeue(events.read())).filter(F.col("job_id") == job_id)
     # One row per step of one job.
-    done = {
-        r["step_name"]
-        for r in rollup.filter((F.col("job_id") == job_id) & (F.col("status") == SUCCESS)).select("step_name").collect()
-    }
-    for name, step in steps:
-        if name in done and not force:
-            log.info("%s: done before, skipped", name)
-            continue
+    known = {r["step_name"]: r for r in rollup.select("step_name", "status", "runs").collect()}
+    todo = [(n, s) for n, s in steps if force or n not in known or known[n]["status"] != SUCCESS]
+    if not todo:
+        log.info("%s: nothing to do", job_id)
+        return
+    attempts = 1 + (known[ledger.WHOLE_RUN]["runs"] if ledger.WHOLE_RUN in known else 0)
+    events.append(job_id, run_key, ledger.WHOLE_RUN, RUNNING)
+    for name, step in todo:
         events.append(job_id, run_key, name, RUNNING)
         try:
             result = step()
         except Exception as exc:
-            events.append(job_id, run_key, name, FAILED, error=str(exc)[:4000])
+            error = str(exc)[:4000]
+            events.append(job_id, run_key, name, FAILED, error=error)
+            outcome = DEAD if attempts >= max_attempts else FAILED
+            events.append(job_id, run_key, ledger.WHOLE_RUN, outcome, error=f"{name}: {error}")
             raise LoadFailed(f"{name}: {exc}") from exc
         events.append(job_id, run_key, name, SUCCESS, artifact_path=None if result is None else str(result))
+    events.append(job_id, run_key, ledger.WHOLE_RUN, SUCCESS)
 
 
 def run_load(
@@ -281,7 +286,7 @@ def run_load(
     events = RunEvents(spark, f"{root.rstrip('/')}/run_events")
     job_id = f"{'dry-' if dry_run else ''}load-{options.run_key}"
     if options.force:
-        events.append(job_id, options.run_key, "", PENDING)
+        events.append(job_id, options.run_key, ledger.WHOLE_RUN, PENDING)
 
     def metrics_path(name: str) -> str:
         return f"{root.rstrip('/')}/metrics/{name}/run_key={options.run_key}"
@@ -320,6 +325,7 @@ def run_load(
             ("serve", lambda: refresh_serving(folder, options)),
         ]
     run_steps(events, job_id, options.run_key, steps, options.force)
+    metrics("status", ledger.status_summary(ledger.run_records(ledger.whole_runs(events.read()))))
     return job_id
 
 

@@ -27,6 +27,9 @@ CHUNK = 8 * 1024 * 1024
 CHECK_SCHEMA = "path string, error string, sha256 string"
 MEMBER_SCHEMA = "path string, position int, member string, size bigint"
 EXPANDED_SCHEMA = "path string, member string, size bigint, content binary"
+EXPANDED_COLUMNS = ("path", "member", "size", "content")
+# Members handed over at once: at most this many rows, or about CHUNK bytes.
+MAX_ROWS = 2000
 
 
 def _open(path: str):
@@ -59,22 +62,15 @@ def check_contents(archives: DataFrame) -> DataFrame:
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame(
-                {
-                    "path": batch["path"],
-                    "error": [
-                        _problem(io.BytesIO(c)) if c else f"empty file: {p}"
-                        for p, c in zip(batch["path"], batch["content"])
-                    ],
-                }
-            )
+            errors = [
+                _problem(io.BytesIO(c)) if c else f"empty file: {p}" for p, c in zip(batch["path"], batch["content"])
+            ]
+            yield pd.DataFrame({"path": batch["path"], "error": errors, "sha256": batch["sha256"]})
 
     # The digest is a built-in expression, so it stays out of Python.
-    digests = archives.select("path", F.sha2("content", 256).alias("digest"))
-    errors = archives.select("path", "content").mapInPandas(check, "path string, error string")
-    return errors.join(digests, "path").select(
-        "path", "error", F.when(F.col("error").isNull(), F.col("digest")).alias("sha256")
-    )
+    hashed = archives.select("path", "content", F.sha2("content", 256).alias("sha256"))
+    checked = hashed.mapInPandas(check, CHECK_SCHEMA)
+    return checked.withColumn("sha256", F.when(F.col("error").isNull(), F.col("sha256")))
 
 
 MAX_TASKS = 20_000
@@ -131,16 +127,22 @@ def expand_contents(archives: DataFrame) -> DataFrame:
     """Members of archives held as (path, content), directories flattened, directory entries skipped."""
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, held = [], 0
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
                     for info in archive.infolist():
                         name = _flat_name(info.filename)
-                        if name:
-                            data = archive.read(info)
-                            yield pd.DataFrame(
-                                {"path": [path], "member": [name], "size": [len(data)], "content": [data]}
-                            )
+                        if not name:
+                            continue
+                        data = archive.read(info)
+                        rows.append((path, name, len(data), data))
+                        held += len(data)
+                        if held >= CHUNK or len(rows) >= MAX_ROWS:
+                            yield pd.DataFrame(rows, columns=EXPANDED_COLUMNS)
+                            rows, held = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=EXPANDED_COLUMNS)
 
     return archives.select("path", "content").mapInPandas(expand, EXPANDED_SCHEMA)
 

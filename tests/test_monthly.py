@@ -110,19 +110,46 @@ def test_searches(loaded):
 
 def test_health_and_steps(spark, loaded):
     events = RunEvents(spark, f"{loaded.root}/run_events").read()
-    runs = L.run_records(events)
+    runs = L.run_records(L.whole_runs(events))
     row = L.health(runs, monthly.serving_rows(loaded)).first()
     assert tuple(row) == ("ok", "2026-03", 3)
     steps = [r["step_name"] for r in L.job_steps(L.step_rollup(events), "load-2026-03").collect()]
-    assert steps == ["verify", "extract", "transform", "load", "serve"]
+    assert steps == ["run", "verify", "extract", "transform", "load", "serve"]
+    summary = spark.read.json(f"{loaded.root}/metrics/status/run_key=2026-03").orderBy("position").collect()
+    assert [(r["run_key"], r["status"]) for r in summary] == [("2026-03", "SUCCESS")] * 2
 
 
-def test_second_run_is_skipped_and_force_repeats(spark, loaded, tmp_path):
+def test_second_run_is_skipped(spark, loaded):
     before = loaded.current_versions()
     monthly.run_load(spark, loaded.root, "/nowhere", options(), archive_folder="/nowhere")
     assert loaded.current_versions() == before
 
 
+def test_steps_resume_die_and_start_over(spark, tmp_path):
+    events, seen = RunEvents(spark, str(tmp_path / "events")), []
+
+    def fail():
+        raise RuntimeError("boom")
+
+    def run(second, force=False):
+        monthly.run_steps(events, "j", "2026-03", [("a", lambda: seen.append("a")), ("b", second)], force)
+
+    for expected in ("FAILED", "FAILED", "DEAD"):
+        with pytest.raises(monthly.LoadFailed, match="b: boom"):
+            run(fail)
+        last = L.run_records(L.whole_runs(events.read())).first()
+        assert (last["status"], last["last_error"]) == (expected, "b: boom")
+    assert seen == ["a"]
+    run(lambda: seen.append("b"))
+    run(fail)
+    assert seen == ["a", "b"]
+    run(lambda: seen.append("b"), force=True)
+    assert seen == ["a", "b", "a", "b"]
+    events.append("j", "2026-03", L.WHOLE_RUN, "PENDING")
+    run(lambda: None)
+    assert seen == ["a", "b", "a", "b", "a"]
+
+
 def test_next_month(spark, tmp_path):
     """Change, removal, arrival; the company's stamps move, the branch's own do not reach the view."""
     root = str(tmp_path / "root")
@@ -159,12 +186,12 @@ def test_next_month(spark, tmp_path):
     with pytest.raises(monthly.LoadFailed, match="nothing was changed"):
         monthly.run_load(spark, root, raw, options("2026-04"))
     assert monthly.current_rows(folder, LAYOUTS["empresas"]).count() == 3
-    runs = L.run_records(RunEvents(spark, f"{root}/run_events").read())
-    assert rows(runs.filter("run_key = '2026-04'"), "status") == {("FAILED",)}
+    runs = L.run_records(L.whole_runs(RunEvents(spark, f"{root}/run_events").read()))
+    assert rows(runs.filter("run_key = '2026-04'"), "status", "attempts") == {("FAILED", 1)}
     monthly.run_load(spark, root, raw, options("2026-04", min_ratio=0.1))
     assert monthly.current_rows(folder, LAYOUTS["empresas"]).count() == 1
     steps = L.step_rollup(RunEvents(spark, f"{root}/run_events").read()).filter("job_id = 'load-2026-04'")
-    assert rows(steps, "step_name", "runs") == {("transform", 1), ("load", 2), ("serve", 1)}
+    assert rows(steps, "step_name", "runs") == {("run", 2), ("transform", 1), ("load", 2), ("serve", 1)}
 
 
 def test_duplicates_and_long_values_stop_the_load(spark, tmp_path):

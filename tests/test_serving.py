@@ -117,6 +117,9 @@ def test_bulk_lookup_against_single_lookups(spark, view):
             expected = ("found", row["cnpj_completo"]) if row else ("not_found", None)
         assert got[key] == expected
     assert len(got) == len(set(keys))
+    many = asked.unionByName(spark.range(300).select(F.lit(some[0]).alias("key")))
+    assert rows(S.bulk_lookup(view, many, min_hot_rows=100)) == rows(S.bulk_lookup(view, many))
+    assert S.bulk_lookup(view, many, min_hot_rows=100).count() == len(got) + 300
     assert "CartesianProduct" not in plan_of(S.bulk_lookup(view, asked))
 
 
@@ -140,7 +143,8 @@ def test_trigram_search_equals_scan(spark, view, text, tmp_path):
 
 
 def test_trigrams_of_short_text(spark):
-    df = spark.createDataFrame([(1, "ab"), (2, "ABcab"), (3, None), (4, "")], "id int, t string")
+    df = spark.createDataFrame([(1, "ab"), (2, "ABcab"), (3, None), (4, ""), (5, "a\nb😀c")], "id int, t string")
     got = {r["id"]: r["p"] for r in df.select("id", trigram.trigrams(F.col("t")).alias("p")).collect()}
-    assert got[1] is None and got[3] is None and got[4] is None
+    assert not got[1] and got[3] is None and not got[4]
     assert sorted(got[2]) == ["abc", "bca", "cab"]
+    assert got[5] == ["a\nb", "\nb😀", "b😀c"]
