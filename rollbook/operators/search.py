@@ -50,14 +50,29 @@ def search_condition(
     return condition
 
 
+def fetch(serving: DataFrame, found: list, key: str = "cnpj_completo", folder: str = "uf") -> DataFrame:
+    """Whole records of a short list of rows that hold at least the key.
+
+    The keys, and the folders they lie in, become conditions the scan can skip files and row groups by.
+    """
+    hits = serving.filter(F.col(key).isin([r[key] for r in found]))
+    folders = {r[folder] for r in found} if found and folder in found[0] else set()
+    return hits.filter(F.col(folder).isin(list(folders))) if folders and None not in folders else hits
+
+
 def search(
     serving: DataFrame, *, razao_social: str | None = None, municipio: str | None = None,
     cnae: str | None = None, uf: str | None = None, situacao: str | None = None, limit: int = DEFAULT_LIMIT,
 ) -> DataFrame:
-    """First matches in key order, 1 to 100 of them."""
+    """First matches in key order, 1 to 100 of them.
+
+    Two steps: the whole table is searched in the few columns the conditions need; the wide records
+    are then fetched for the at most 100 keys found.
+    """
     condition = search_condition(razao_social, municipio, cnae, uf, situacao)
     hits = serving if condition is None else serving.filter(condition)
-    return hits.orderBy("cnpj_completo").limit(clamp_limit(limit))
+    found = hits.select("cnpj_completo", "uf").orderBy("cnpj_completo").limit(clamp_limit(limit)).collect()
+    return fetch(serving, found).orderBy("cnpj_completo").limit(clamp_limit(limit))
 
 
 def parse_key(key: str) -> str:

@@ -78,9 +78,22 @@ def test_lookup_is_pushed_to_the_scan(view):
     assert "PushedFilters: [Or(EqualTo(cnpj_completo,00000001),EqualTo(cnpj_basico,00000001))]" in plan
 
 
-def test_state_filter_prunes_folders(view):
-    plan = plan_of(S.search(view, uf="hi"))
-    assert "PartitionFilters: [isnotnull(uf" in plan and "TakeOrderedAndProject" in plan
+def test_search_reads_narrow_then_by_key(spark, view):
+    plan = plan_of(S.search(view, razao_social="mer#0", uf="hi", limit=3))
+    physical = plan.split("== Physical Plan ==")[1]
+    assert "In(cnpj_completo, [" in physical and "TakeOrderedAndProject" in physical, physical
+    assert "PartitionFilters: [isnotnull(uf" in physical, physical
+    condition = S.search_condition(razao_social="mer#0", uf="hi")
+    narrow = plan_of(view.filter(condition).select("cnpj_completo", "uf"))
+    assert "ReadSchema: struct<cnpj_completo:string,razao_social:string,nome_fantasia:string>" in narrow
+    assert S.search(view, cnae="nothing").count() == 0
+
+
+def test_search_with_unknown_state(spark, view):
+    some = view.withColumn("uf", F.when(F.col("uf") == "HI", F.lit(None)).otherwise(F.col("uf")))
+    keys = rows(S.search(some, razao_social="r#0", limit=100), "cnpj_completo")
+    expected = view.filter(S.search_condition(razao_social="r#0")).orderBy("cnpj_completo").limit(100)
+    assert keys == rows(expected, "cnpj_completo")
 
 
 def test_keys_as_typed(view):
@@ -142,6 +155,14 @@ def test_trigram_search_equals_scan(spark, view, text, tmp_path):
     assert rows(found) == rows(scan)
 
 
+def test_few_candidates_are_listed_in_the_scan(spark, view):
+    index = trigram.build_index(view.select("cnpj_completo", "razao_social"), "cnpj_completo", ["razao_social"])
+    few = trigram.search_indexed(view, index, "cnpj_completo", ["razao_social"], "0000149")
+    many = trigram.search_indexed(view, index, "cnpj_completo", ["razao_social"], "customer")
+    assert "LeftSemi" not in plan_of(few) and "LeftSemi" in plan_of(many)
+    assert few.count() > 0 and many.count() == view.count()
+
+
 def test_trigrams_of_short_text(spark):
     df = spark.createDataFrame([(1, "ab"), (2, "ABcab"), (3, None), (4, ""), (5, "a\nb😀c")], "id int, t string")
     got = {r["id"]: r["p"] for r in df.select("id", trigram.trigrams(F.col("t")).alias("p")).collect()}
