@@ -28,7 +28,7 @@ from rollbook.sources.registry import (
     LAYOUTS, MERGE, REPLACE, REPLACE_KEYED, Layout, stamped_schema,
 )
 from rollbook.sources.run_events import RunEvents
-from rollbook.sources.tables import TableFolder, read_if_there
+from rollbook.sources.tables import TableFolder, read_if_there, small_table
 
 log = logging.getLogger("rollbook.load")
 
@@ -113,7 +113,7 @@ def transform(
         m = cleaning.clean_metrics(written).first()
         return (layout.name, m["rows"], m["skipped_empty"] + blank, m["skipped_invalid_required"], len(paths), None)
 
-    return spark.createDataFrame(side_by_side(one, options.layouts.values()), METRIC_SCHEMA)
+    return small_table(spark, side_by_side(one, options.layouts.values()), METRIC_SCHEMA)
 
 
 def side_by_side(work: Callable, items: Iterable) -> list:
@@ -192,7 +192,7 @@ def load(spark: SparkSession, folder: TableFolder, options: Options, tables: lis
     failures = [(name, result) for name, _, result in done if isinstance(result, Exception)]
     if failures:
         raise checks.CheckFailed("; ".join(str(exc) for _, exc in failures)) from failures[0][1]
-    return spark.createDataFrame([counts for _, version, counts in done if version], LOAD_SCHEMA)
+    return small_table(spark, [counts for _, version, counts in done if version], LOAD_SCHEMA)
 
 
 SERVING = "serving"

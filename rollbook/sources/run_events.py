@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from rollbook.operators.ledger import EVENT_SCHEMA
-from rollbook.sources.tables import read_if_there
+from rollbook.sources.tables import read_if_there, small_table
 
 
 class RunEvents:
@@ -23,7 +23,7 @@ class RunEvents:
         row = (
             job_id, run_key, step_name, status, datetime.now(timezone.utc), error, artifact_path, time.time_ns(),
         )
-        self.spark.createDataFrame([row], EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        small_table(self.spark, [row], EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
     def read(self) -> DataFrame:
         events = read_if_there(self.spark, self.path, EVENT_SCHEMA)

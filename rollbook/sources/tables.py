@@ -11,9 +11,11 @@ import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+ARROW_TYPES = {"string": pa.string(), "bigint": pa.int64(), "timestamp": pa.timestamp("us", tz="UTC")}
 PUBLICATION_SCHEMA = "table string, version string, run_key string, published_at timestamp"
 
 
@@ -27,6 +29,27 @@ def read_if_there(spark: SparkSession, path: str, schema: T.StructType | str | N
         raise
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A handful of driver rows as a local relation; no Python worker is started for them."""
+    names, types = zip(*(field.split() for field in schema.split(",")))
+    columns = list(zip(*rows)) or [()] * len(names)
+    arrow = pa.table([pa.array(values, ARROW_TYPES[t]) for t, values in zip(types, columns)], names=list(names))
+    return spark.createDataFrame(arrow, schema)
+
+
+def save_bucketed(df: DataFrame, table: str, path: str, key: Sequence[str], buckets: int) -> DataFrame:
+    """Keep a current table bucketed and sorted by its key, in the session's catalog.
+
+    A merge on that key then shuffles the dump only. Worth it where the current table is large and the
+    catalog outlives the session; ``buckets`` should be the number of shuffle partitions of the merge.
+    """
+    (
+        df.repartition(buckets, *key).write.mode("overwrite").option("path", path)
+        .bucketBy(buckets, *key).sortBy(*key).saveAsTable(table)
+    )
+    return df.sparkSession.table(table)
+
+
 class TableFolder:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -56,7 +79,7 @@ class TableFolder:
             return
         now = datetime.now(timezone.utc)
         rows = [(table, version, run_key, now) for table, version in versions.items()]
-        self.spark.createDataFrame(rows, PUBLICATION_SCHEMA).coalesce(1).write.mode("append").parquet(
+        small_table(self.spark, rows, PUBLICATION_SCHEMA).coalesce(1).write.mode("append").parquet(
             f"{self.root}/publications"
         )
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollbook.operators import checks, merge as M
+from rollbook.sources.tables import save_bucketed
 from tests.helpers import rows
 
 KEY, DATA = ["k"], ["v", "w"]
@@ -74,6 +75,16 @@ def test_merge_is_one_join_with_one_shuffle_per_side(spark):
     assert plan.count("FullOuter") == 1
 
 
+def test_bucketed_table_is_not_shuffled(spark, tmp_path):
+    main = main_table(spark, [(f"k{i}", "b", "c") for i in range(50)])
+    bucketed = save_bucketed(main, "bucketed_main", str(tmp_path / "b"), KEY, 8)
+    staging = staged(spark, [("k1", "b", "c"), ("x", "y", None)])
+    result = merged(bucketed, staging)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert rows(M.merge_counts(result)) == {(1, 0, 49)}
+
+
 @pytest.mark.parametrize(("main_n", "staging_n", "passes"), [(10, 5, True), (10, 4, False), (0, 0, True), (0, 3, True)])
 def test_volume_guard(spark, main_n, staging_n, passes):
     main, staging = spark.range(main_n), spark.range(staging_n)

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rollbook.functions.text import zero_pad
 from rollbook.operators import checks, merge as M
 from rollbook.operators.cleaning import overlength
+from rollbook.session import work_dir
 from rollbook.sources.registry import ESTABELECIMENTOS, SOCIOS
+from rollbook.sources.tables import save_bucketed
 from workload import roles
 from workload.catalog import query
 from workload.oracle import CHANGED, MERGE, MERGED, PRESENT, SAME_KEY, sql, zpad
@@ -27,6 +29,16 @@ def merge_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dated(_merged(spark, sf_dir), "created_at", "updated_at")
 
 
+@query("merge_bucketed", sql(MERGED, "SELECT * FROM merged"))
+def merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same merge with the current table bucketed by its key: only the dump is shuffled."""
+    main, staging = roles.branch_snapshots(spark, sf_dir)
+    path = work_dir(spark, "bucketed")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    current = save_bucketed(main, "rollbook_" + path.rsplit("-", 1)[1], path, KEY, buckets)
+    return dated(M.three_way_merge(current, staging, KEY, DATA, NEW_KEY, NEW_STAMP), "created_at", "updated_at")
+
+
 @query("merge_snapshot", sql(MERGED, "SELECT * EXCLUDE (op) FROM merged WHERE op <> 'delete'"))
 def merge_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dated(M.snapshot(_merged(spark, sf_dir)), "created_at", "updated_at")
