@@ -55,7 +55,7 @@ class Options:
         if self.on_duplicate not in ("error", "first"):
             raise ValueError("on_duplicate is 'error' or 'first'")
         if not self.stamp:
-            self.stamp = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+            self.stamp = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f+00:00")
 
 
 def current_schema(layout: Layout) -> T.StructType:
