@@ -90,14 +90,14 @@ def plan(weighed: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float = CA
         .groupBy("_source", "source_size", "target", "_epochs", "_rest")
         .agg(F.max("_bucket").alias("_end"), F.max_by("_below", "_bucket").alias("_below"))
     )
+    ends = settle(ends, "mix-ends")  # one row per source, and Spark now knows its size: small ones reach the rows by broadcast
     last = weighed.select(F.col("_source").alias("_of"), F.col("_bucket").alias("_in"), "_key", "size").join(
         ends, F.col("_of").eqNullSafe(F.col("_source")) & (F.col("_in") == F.col("_end"))
     ).groupBy("_source", "_below", "_rest", "_key").agg(F.sum("size").alias("_words"))
     upto = F.col("_below") + F.sum("_words").over(Window.partitionBy("_source").orderBy("_key")) - F.col("_words") / 2
     cut = last.withColumn("_upto", upto).filter(F.col("_upto") <= F.col("_rest")).groupBy(F.col("_source").alias("_of")).agg(F.max("_key").alias("_cut"))
-    return ends.join(cut, F.col("_of").eqNullSafe(F.col("_source")), "left").select(
-        "_source", "source_size", "target", "_epochs", "_end", F.coalesce("_cut", F.lit(-1.0)).alias("_cut")
-    )
+    planned = ends.join(cut, F.col("_of").eqNullSafe(F.col("_source")), "left")
+    return settle(planned.select("_source", "source_size", "target", "_epochs", "_end", F.coalesce("_cut", F.lit(-1.0)).alias("_cut")), "mix-plan")
 
 
 def take(weighed: DataFrame, planned: DataFrame) -> DataFrame:

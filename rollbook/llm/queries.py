@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import mixing, quality, secrets, urls
+from rollbook.llm import mixing, quality, secrets, tiling, tokens, urls
 from rollbook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,13 @@ WITH parts AS (
 SELECT page_id, parts.host, parts.path, fit.rule, coalesce(fit.verdict, CASE WHEN parts.host = '' THEN 'block' ELSE 'allow' END) AS verdict
 FROM parts LEFT JOIN fit ON parts.host = fit.host AND parts.path = fit.path
 """
+
+
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), tokens.PieceTokenizer("piece_bpe_32k.model"))
+
+
+@query
+def op9_benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
