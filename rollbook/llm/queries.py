@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import language, mixing, quality, secrets, tiling, tokens, urls
+from rollbook.llm import language, minhash, mixing, quality, secrets, tiling, tokens, urls
 from rollbook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,8 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     network = language.learn(docs.filter(~language.held_out("doc_id")))
     return language.predict(docs.select("doc_id", language.held_out("doc_id").alias("held_out"), "text"), network).drop("text")
+
+
+@query
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
