@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import language, minhash, mixing, quality, secrets, suffixes, tiling, tokens, urls
+from rollbook.llm import language, minhash, mixing, passages, quality, secrets, suffixes, tiling, tokens, urls
 from rollbook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,8 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.deduplicated(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query
+def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
