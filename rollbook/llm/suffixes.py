@@ -36,7 +36,7 @@ from rollbook.llm.words import mixed, pieces
 LENGTH, GRAM = 50, 26
 SPAN = LENGTH - GRAM + 1
 #: Bytes of text whose anchors make one bucket, and anchors that are sorted in one run.
-BUCKET_BYTES, RUN = 48_000_000, 200_000
+BUCKET_BYTES, RUN = 32_000_000, 200_000
 #: Texts that the cuts between parts are taken from.
 SAMPLE = 500
 _WIDTH = LENGTH + SPAN - 1
@@ -94,7 +94,8 @@ def _rows(owner: np.ndarray, *values: np.ndarray):
         yield (int(owner[a]), *(v[order[a:b]] for v in values))
 
 
-BUCKETS = "bucket int, nodes array<binary>, owner binary, at binary, low binary, high binary, known boolean"
+#: Numbers go in planes, the high parts of places apart, which compress well.
+BUCKETS = "bucket int, nodes array<binary>, owner binary, at binary, beyond binary, low binary, high binary, known boolean"
 SHARED = "node binary, at binary"
 
 
@@ -126,38 +127,41 @@ def _deal_anchors(buckets: int):
                 for b, rows in _rows(bucket[part].astype(np.int64), np.flatnonzero(part)):
                     rows = rows[np.lexsort((at[rows], owner[rows]))]
                     used, own = np.unique(owner[rows], return_inverse=True)
-                    low, high = hashes[rows].astype(np.uint32), ((hashes[rows] >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.uint16)
+                    low, high = hashes[rows].astype(np.uint32), (hashes[rows] >> np.uint64(32)).astype(np.uint8)  # the rest chose the bucket
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([b], pa.int32()), pa.array([nodes.take(pa.array(used)).to_pylist()], pa.list_(pa.binary())),
-                            pa.array([own.astype(np.uint16 if len(used) < 65536 else np.uint32).tobytes()], pa.binary()), pa.array([at[rows].astype(np.uint32).tobytes()], pa.binary()),
+                            pa.array([own.astype(np.uint16 if len(used) < 65536 else np.uint32).tobytes()], pa.binary()), pa.array([at[rows].astype(np.uint16).tobytes()], pa.binary()),
+                            pa.array([(at[rows] >> 16).astype(np.uint16).tobytes()], pa.binary()),
                             pa.array([b"" if mark else low.tobytes()], pa.binary()), pa.array([b"" if mark else high.tobytes()], pa.binary()), pa.array([mark]),
                         ],
-                        names=["bucket", "nodes", "owner", "at", "low", "high", "known"],
+                        names=["bucket", "nodes", "owner", "at", "beyond", "low", "high", "known"],
                     )
 
     return run
 
 
 def _numbers(row: dict) -> np.ndarray:
-    return np.frombuffer(row["owner"], np.uint16 if len(row["nodes"]) < 65536 else np.uint32).astype(np.int64)
+    return np.frombuffer(row["owner"], np.uint16 if len(row["nodes"]) < 65536 else np.uint32).astype(np.int32)
 
 
 def _find_shared(table: pa.Table) -> pa.Table:
     nodes, lists, rows = [], [], []
-    for row in table.to_pylist():
-        at, own = np.frombuffer(row["at"], np.uint32), _numbers(row)
+    for k in range(table.num_rows):
+        row = {name: table.column(name)[k].as_py() for name in table.column_names}
+        at, own = np.frombuffer(row["at"], np.uint16).astype(np.uint32), _numbers(row)
+        at |= np.frombuffer(row["beyond"], np.uint16).astype(np.uint32) << np.uint32(16)
         if row["known"]:
             for k, places in _rows(own, at):
                 nodes.append(row["nodes"][k])
                 lists.append(places.tobytes())
         else:
-            rows.append((row["nodes"], own, at, np.frombuffer(row["low"], np.uint32).astype(np.uint64) | (np.frombuffer(row["high"], np.uint16).astype(np.uint64) << np.uint64(32))))
+            rows.append((row["nodes"], own, at, np.frombuffer(row["low"], np.uint32).astype(np.uint64) | (np.frombuffer(row["high"], np.uint8).astype(np.uint64) << np.uint64(32))))
     if rows:
-        values, inverse, counts = np.unique(np.concatenate([r[3] for r in rows]), return_inverse=True, return_counts=True)
+        values, inverse = np.unique(np.concatenate([r[3] for r in rows]), return_inverse=True)
         # a batch sends a hash once, or several times from one text: another batch must have it too
-        batch = np.repeat(np.arange(len(rows)), [len(r[3]) for r in rows])
-        low, high = np.full(len(values), len(rows)), np.full(len(values), -1)
+        batch = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[3]) for r in rows])
+        low, high = np.full(len(values), len(rows), np.int32), np.full(len(values), -1, np.int32)
         np.minimum.at(low, inverse, batch)
         np.maximum.at(high, inverse, batch)
         both, start = (low < high)[inverse], 0
@@ -353,7 +357,7 @@ def covered_offsets(strings: np.ndarray, prefix: np.ndarray, ids: np.ndarray) ->
 def _merge_runs(table: pa.Table) -> pa.Table:
     nodes, owners, ats, runs, ids, found, n = [], [], [], [], [], [], 0
     for row in table.to_pylist():
-        own, at = _numbers(row), np.frombuffer(row["at"], np.uint32).astype(np.int64)
+        own, at = _numbers(row).astype(np.int64), np.frombuffer(row["at"], np.uint32).astype(np.int64)
         if row["masks"]:
             found.append((own + len(nodes), at, np.frombuffer(row["masks"], np.uint32).astype(np.int64)))
         else:
@@ -418,11 +422,16 @@ def _cuts(texts: DataFrame, parts: int) -> list[bytes]:
     return sorted({found[len(found) * k // parts] for k in range(1, parts)}) if found else []
 
 
+def _node(text: str):
+    # never null, and declared so: all uses of the texts then are one and the same shuffle
+    return F.coalesce(F.unhex(F.md5(text)), F.lit(b""))
+
+
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, kept): one row per document; ``kept`` is the text that is left
     (bytes cut out of a character are replaced there, not in the digest)."""
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    rows = rows.select("id", F.coalesce(F.col("id").cast("long"), F.lit(_LAST)).alias("doc"), F.unhex(F.md5("text")).alias("node"), "text")
+    rows = rows.select("id", F.coalesce(F.col("id").cast("long"), F.lit(_LAST)).alias("doc"), _node("text").alias("node"), "text")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, size // BUCKET_BYTES + 1)
     texts = rows.groupBy("node").agg(F.min("doc").alias("doc"), F.first("text").alias("text")).select("node", "doc", "text")
