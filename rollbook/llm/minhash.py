@@ -106,7 +106,7 @@ def _shingled(text: str | bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Of the pairs (u, v) those whose texts, (node, text), reach the threshold."""
-    both = pairs.join(texts.select(F.col("node").alias("u"), F.col("text").alias("text_u")), "u").join(
+    both = pairs.hint("shuffle_merge").join(texts.select(F.col("node").alias("u"), F.col("text").alias("text_u")), "u").join(
         texts.select(F.col("node").alias("v"), F.col("text").alias("text_v")), "v"
     )
 
@@ -146,13 +146,14 @@ def band_rows(docs: DataFrame, text_col: str = "text", bands: int = BANDS, rows:
 
 def near_links(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(verified links (u, v) between different texts, components of them)."""
-    bands = band_rows(docs, text_col)
+    bands = settle(band_rows(docs, text_col), "bands-all")
     shared = settle(bands.groupBy("band").agg(F.min("node").alias("first"), F.count("*").alias("n")).filter("n > 1").select("band", "first"), "bands-shared")
     members = settle(bands.join(shared, "band"), "bands")  # each text of a shared band, with the band's first text
     pairs = settle(members.filter("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v")).distinct(), "pairs")
     asked = settle(members.select("node").distinct(), "nodes")
     texts = docs.select(text_of(text_col).alias("text")).select(node_of(F.col("text")).alias("node"), "text")
-    texts = settle(texts.join(asked, "node", "left_semi").dropDuplicates(["node"]), "texts")
+    # candidates grow with the documents: they are never broadcast, at any size
+    texts = settle(texts.join(asked.hint("shuffle_merge"), "node", "left_semi").dropDuplicates(["node"]), "texts")
     links = settle(verified(pairs, texts, threshold), "links")
     groups = components(links)
 
