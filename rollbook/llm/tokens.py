@@ -23,7 +23,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import text_of
+from rollbook.llm.common import settle, text_of
 from rollbook.session import work_dir
 
 LIMIT = 4096
@@ -73,7 +73,11 @@ def cached(spark, cache: str, version: str) -> DataFrame | None:
         rows = spark.read.schema(CACHE_SCHEMA).parquet(cache)
     except AnalysisException:
         return None
-    return rows.filter(F.col("version") == version).groupBy(F.col("digest").alias("_digest")).agg(F.max("n_tokens").alias("n_tokens"))
+    rows = rows.filter(F.col("version") == version).select(F.col("digest").alias("_digest"), "n_tokens")
+    # Only calls that run side by side store a digest twice. Without an aggregate, Spark can split a join's hot digest.
+    if not rows.groupBy("_digest").count().filter("count > 1").isEmpty():
+        rows = settle(rows.groupBy("_digest").agg(F.max("n_tokens").alias("n_tokens")), "token-cache-once")
+    return rows
 
 
 def count_tokens(docs: DataFrame, tokenizer, text_col: str = "text", cache: str | None = None, limit: int = LIMIT, normalise: Callable[[Column], Column] | None = None) -> DataFrame:
