@@ -101,8 +101,9 @@ def labelled_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def train(samples: DataFrame) -> list[float] | None:
-    """Log ratios of the two models by (previous, next) character, with one added to every count; the state before
-    the first character and every character outside the alphabet is 0. None if either label has no sample."""
+    """Log ratios of the two models by (previous, next) character; the state before the first character and every
+    character outside the alphabet is 0. Counts after a character are smoothed by how frequent each character is
+    at all, so a rare one speaks against ordinary text. None if either label has no sample."""
     size = len(ALPHABET) + 1
     code = lambda c: F.instr(F.lit(ALPHABET), c)
     pairs = samples.select("random", F.split(F.concat(F.lit(" "), "token"), "").alias("c")).select(
@@ -114,9 +115,10 @@ def train(samples: DataFrame) -> list[float] | None:
     from math import log
 
     def logs(random: bool) -> list[float]:
+        every = [1 + sum(counts.get((random, a * size + b), 0) for a in range(size)) for b in range(size)]
         out = []
         for a in range(size):
-            row = [counts.get((random, a * size + b), 0) + 1 for b in range(size)]
+            row = [counts.get((random, a * size + b), 0) + size * every[b] / sum(every) for b in range(size)]
             out += [log(n / sum(row)) for n in row]
         return out
 
