@@ -202,6 +202,9 @@ def refresh_serving(folder: TableFolder, options: Options) -> int:
     """Rebuild the serving table; readers keep the old version until the new one is complete."""
     versions = folder.current_versions()
     tables = {name: current_rows(folder, layout, versions) for name, layout in LAYOUTS.items()}
+    absent = [name for name in ("empresas", "estabelecimentos") if tables[name] is None]
+    if absent:
+        raise checks.CheckFailed(f"never loaded: {', '.join(absent)}")
     version = folder.new_version(options.run_key)
     written = folder.write(SERVING, version, laid_out(build_serving(tables)), ["uf"])
     checks.require_rows(written, SERVING)
@@ -218,18 +221,28 @@ def serving_rows(folder: TableFolder) -> DataFrame | None:
 
 
 def verify_archives(spark: SparkSession, folder: str, names: DataFrame) -> DataFrame:
-    """Integrity of the expected archives; raises if one is missing or damaged."""
+    """The integrity report of the expected archives: (name, ok, sha256, error), one row each."""
     paths = names.select(F.concat(F.lit(folder.rstrip("/") + "/"), "name").alias("path"))
     # Every archive is read once: the report is written before anything looks at it.
     written = work_dir(spark, "archive-check")
     archives.check_files(paths).write.parquet(written)
-    report = spark.read.parquet(written).select(
+    return spark.read.parquet(written).select(
         file_name(F.col("path")).alias("name"), F.col("error").isNull().alias("ok"), "sha256", "error"
     )
-    bad = report.filter(~F.col("ok")).limit(20).collect()
-    if bad:
-        raise checks.CheckFailed("damaged archives: " + "; ".join(f"{r['name']}: {r['error']}" for r in bad))
-    return report
+
+
+def require_sound(report: DataFrame) -> None:
+    """Raises if an archive of a report is damaged."""
+    bad = report.agg(F.count_if(~F.col("ok")).alias("n"), F.min_by(F.struct("name", "error"), F.when(~F.col("ok"), F.col("name"))).alias("first")).first()
+    if bad["n"]:
+        raise checks.CheckFailed(f"damaged archives: {bad['n']}, the first {bad['first']['name']}: {bad['first']['error']}")
+
+
+def require_found(expected: DataFrame, found: DataFrame) -> None:
+    """Raises if an expected archive (by ``name``) was not found."""
+    gone = expected.select("name").distinct().join(found.select("name"), "name", "left_anti").agg(F.count("*").alias("n"), F.min("name").alias("first")).first()
+    if gone["n"]:
+        raise checks.CheckFailed(f"missing archives: {gone['n']}, the first {gone['first']}")
 
 
 def should_load(runs: DataFrame, run_key: str, old: DataFrame | None, new: DataFrame, force: bool = False) -> bool:
@@ -256,6 +269,8 @@ def run_steps(
     if not todo:
         log.info("%s: nothing to do", job_id)
         return
+    if not force and ledger.WHOLE_RUN in known and known[ledger.WHOLE_RUN]["status"] == DEAD:
+        raise LoadFailed(f"{job_id}: no attempt left; force it to start anew")
     attempts = 1 + (known[ledger.WHOLE_RUN]["runs"] if ledger.WHOLE_RUN in known else 0)
     events.append(job_id, run_key, ledger.WHOLE_RUN, RUNNING)
     for name, step in todo:
@@ -263,7 +278,7 @@ def run_steps(
         try:
             result = step()
         except Exception as exc:
-            error = str(exc)[:4000]
+            error = str(exc)
             events.append(job_id, run_key, name, FAILED, error=error)
             outcome = DEAD if attempts >= max_attempts else FAILED
             events.append(job_id, run_key, ledger.WHOLE_RUN, outcome, error=f"{name}: {error}")
@@ -275,13 +290,17 @@ def run_steps(
 def run_load(
     spark: SparkSession, root: str, raw: str, options: Options, archive_folder: str | None = None,
     max_files: int | None = None, dry_run: bool = False, sources: Mapping[str, list[str]] | None = None,
+    expected: DataFrame | None = None,
 ) -> str:
     """One drop from raw files (or archives) to the serving table; returns the job id.
 
     Files are matched to tables by name below ``raw``, unless ``sources`` gives them.
 
-    A dry run stops after cleaning and uses the ``max_files`` smallest archives only.
+    A dry run stops after cleaning and uses the ``max_files`` smallest archives only; a real load takes all.
+    ``expected`` is the drop's listing: the load fails before it reads anything if a wanted archive of it is missing.
     """
+    if max_files is not None and not dry_run:
+        raise ValueError("max_files is for dry runs: a load of some archives would delete the rows of the others")
     folder = TableFolder(spark, root)
     events = RunEvents(spark, f"{root.rstrip('/')}/run_events")
     job_id = f"{'dry-' if dry_run else ''}load-{options.run_key}"
@@ -301,10 +320,17 @@ def run_load(
         def chosen() -> DataFrame:
             listing = raw_files.list_files(spark, archive_folder)
             found = drops.wanted_files(listing.withColumnRenamed("length", "size"))
+            if expected is not None:
+                require_found(drops.wanted_files(expected), found)
             return found if max_files is None else drops.smallest_files(found, max_files)
 
+        def verify_step() -> str:
+            written = metrics("verify", verify_archives(spark, archive_folder, chosen().select("name")))
+            require_sound(spark.read.schema("name string, ok boolean, sha256 string, error string").json(written))
+            return written
+
         steps += [
-            ("verify", lambda: metrics("verify", verify_archives(spark, archive_folder, chosen().select("name")))),
+            ("verify", verify_step),
             ("extract", lambda: metrics("extract", archives.extract_files(chosen(), raw))),
         ]
 
@@ -337,7 +363,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--run-key", required=True, help="YYYY-MM")
     parser.add_argument("--force", action="store_true", help="run again even if done before")
     parser.add_argument("--dry-run", action="store_true", help="stop after cleaning")
-    parser.add_argument("--max-files", type=int, help="with --archives: the k smallest only")
+    parser.add_argument("--max-files", type=int, help="with --archives and --dry-run: the k smallest only")
     parser.add_argument("--single-line", action="store_true", help="no field spans lines: skip the check for it")
     args = parser.parse_args(argv)
     spark = build_session()

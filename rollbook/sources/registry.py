@@ -84,6 +84,7 @@ _CODE_TABLES = (
     ("portes", ("Portes", "PORTECSV"), 2),
 )
 
+# Names of tables, parts of file names that tell them, load policies.
 EMPRESAS = Layout("empresas", _COMPANY, ("Empresas", "EMPRECSV"), MERGE, ("cnpj_basico",), _COMPANY_LENGTHS)
 ESTABELECIMENTOS = Layout(
     "estabelecimentos", _BRANCH, ("Estabelecimentos", "ESTABELE"), MERGE,

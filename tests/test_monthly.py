@@ -140,14 +140,43 @@ def test_steps_resume_die_and_start_over(spark, tmp_path):
         last = L.run_records(L.whole_runs(events.read())).first()
         assert (last["status"], last["last_error"]) == (expected, "b: boom")
     assert seen == ["a"]
+    with pytest.raises(monthly.LoadFailed, match="no attempt left"):
+        run(lambda: seen.append("b"))
+    assert seen == ["a"]
+    events.append("j", "2026-03", L.WHOLE_RUN, "PENDING")
     run(lambda: seen.append("b"))
     run(fail)
-    assert seen == ["a", "b"]
+    assert seen == ["a", "a", "b"]
     run(lambda: seen.append("b"), force=True)
-    assert seen == ["a", "b", "a", "b"]
+    assert seen == ["a", "a", "b", "a", "b"]
     events.append("j", "2026-03", L.WHOLE_RUN, "PENDING")
     run(lambda: None)
-    assert seen == ["a", "b", "a", "b", "a"]
+    assert seen == ["a", "a", "b", "a", "b", "a"]
+
+
+def test_errors_are_recorded_whole(spark, tmp_path):
+    events = RunEvents(spark, str(tmp_path / "events"))
+
+    def fail():
+        raise RuntimeError("x" * 5000)
+
+    with pytest.raises(monthly.LoadFailed):
+        monthly.run_steps(events, "j", "2026-03", [("a", fail)])
+    assert L.run_records(L.whole_runs(events.read())).first()["last_error"] == "a: " + "x" * 5000
+
+
+def test_a_load_takes_all_archives(spark, tmp_path):
+    with pytest.raises(ValueError, match="dry runs"):
+        monthly.run_load(spark, str(tmp_path / "root"), str(tmp_path / "raw"), options(), archive_folder=str(tmp_path), max_files=3)
+    names = spark.createDataFrame([("Empresas0.zip",), ("Socios0.zip",)], "name string")
+    monthly.require_found(names, names)
+    with pytest.raises(checks.CheckFailed, match="missing archives: 1, the first Socios0.zip"):
+        monthly.require_found(names, names.filter("name = 'Empresas0.zip'"))
+
+
+def test_serving_needs_the_base_tables(spark, tmp_path):
+    with pytest.raises(checks.CheckFailed, match="empresas, estabelecimentos"):
+        monthly.refresh_serving(TableFolder(spark, str(tmp_path / "root")), options())
 
 
 def test_next_month(spark, tmp_path):
@@ -239,8 +268,8 @@ def test_damaged_archives(spark, tmp_path):
         "Cnaes.zip": (True, "", 64), "Paises.zip": (False, "corrupt member in ZIP", 0), "Motivos.zip": (False, "empty file", 0),
         "Portes.zip": (False, "bad ZIP file", 0), "Simples.zip": (False, "file not found", 0),
     }
-    with pytest.raises(checks.CheckFailed, match="Paises.zip: corrupt"):
-        monthly.verify_archives(spark, str(tmp_path), spark.createDataFrame(names, "name string"))
+    with pytest.raises(checks.CheckFailed, match="damaged archives: 4, the first Motivos.zip: empty file"):
+        monthly.require_sound(monthly.verify_archives(spark, str(tmp_path), spark.createDataFrame(names, "name string")))
 
 
 def test_extract_keeps_first_of_equal_names_and_existing_files(spark, tmp_path):
