@@ -8,7 +8,7 @@ from pyspark.sql import Column, functions as F
 PENDING, RUNNING, SUCCESS, FAILED, SKIPPED, DEAD = (
     "PENDING", "RUNNING", "SUCCESS", "FAILED", "SKIPPED", "DEAD",
 )
-TERMINAL_STEP = (SUCCESS, FAILED, SKIPPED)
+FINISHED = (SUCCESS, FAILED, SKIPPED, DEAD)
 RETRYABLE = (PENDING, FAILED)
 MAX_ATTEMPTS = 3
 
@@ -18,7 +18,7 @@ def started_at(status: Column, ts: Column) -> Column:
 
 
 def finished_at(status: Column, ts: Column) -> Column:
-    return F.when(status.isin(*TERMINAL_STEP), ts)
+    return F.when(status.isin(*FINISHED), ts)
 
 
 def final_status(succeeded: Column, attempts: Column, max_attempts: Column) -> Column:

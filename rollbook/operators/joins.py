@@ -4,63 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A key is hot when one task would get several times its fair share because of it.
-MAX_HOT_KEYS = 1000
-TRACKED_KEYS = 8192
-HOT_FACTOR = 2
-MIN_HOT_ROWS = 1_000_000
-SKETCH_GROUPS = 256
+# Copies of a partner row in a salted join.
+SALTS = 16
 
 
-def hot_keys(
-    df: DataFrame, key: str, partitions: int | None = None, min_rows: int = MIN_HOT_ROWS
-) -> list:
-    """Heaviest keys of ``df``, at most ``MAX_HOT_KEYS``.
-
-    One pass over the key column with a mergeable sketch: each task sends its sketch, no row is
-    shuffled. Sketches are merged in groups and only the groups' heaviest keys are added up, so that no
-    task gets all of them. Which keys come back decides only how rows are routed, never the result.
-    """
-    if partitions is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    groups = df.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("g")).agg(
-        F.count(key).alias("n"), F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {TRACKED_KEYS})").alias("top")
-    )
-    # The total rides along under the null key, which the sketch does not count.
-    total = F.struct(F.lit(None).cast(df.schema[key].dataType).alias("item"), F.col("n").alias("count"))
-    found = (
-        groups.select(F.inline(F.concat(F.array(total), "top")))
-        .groupBy("item").agg(F.sum("count").alias("count"))
-        .orderBy(F.desc("count")).limit(MAX_HOT_KEYS + 1).collect()
-    )
-    n = sum(r["count"] for r in found if r["item"] is None)
-    least = max(min_rows, HOT_FACTOR * n / partitions)
-    return [r["item"] for r in found if r["item"] is not None and r["count"] >= least]
-
-
-def join_unique(
-    facts: DataFrame, dim: DataFrame, key: str, how: str = "inner", min_hot_rows: int = MIN_HOT_ROWS,
-    hot: list | None = None,
-) -> DataFrame:
+def join_unique(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner", salts: int = 1) -> DataFrame:
     """Join many facts to a table that is unique on ``key`` (``how``: inner or left).
 
-    Without hot keys this is Spark's own join, which picks broadcast or sort-merge by size. Rows of hot
-    keys go another way: their partners are at most one row per hot key, so that small part is
-    broadcast and the hot rows are not shuffled at all. If the partners are more than that (``dim``
-    not unique after all) the plain join is used. ``hot`` gives the hot keys if they are known already,
-    for instance from the bare table behind ``facts``.
+    Spark picks broadcast or sort-merge by size, and adaptive execution splits a key that is too frequent.
+    It does not where an operator that needs the rows by the same key follows; ``salts`` above 1 is for those
+    joins: facts of a key are dealt over that many tasks by their content, and ``dim`` is copied to each. A
+    retried task deals alike. Which of the two is used depends on the caller, never on the data.
     """
-    if hot is None:
-        hot = hot_keys(facts, key, min_rows=min_hot_rows)
-    if not hot:
-        return facts.join(dim, key, how)
-    hot_dim = dim.filter(F.col(key).isin(hot))
-    if hot_dim.limit(MAX_HOT_KEYS + 1).count() > MAX_HOT_KEYS:
+    if salts == 1:
         return facts.join(dim, key, how)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    cold = facts.filter(~is_hot).join(dim, key, how)
-    heavy = facts.filter(is_hot).join(F.broadcast(hot_dim), key, how)
-    return cold.unionByName(heavy)
+    salt = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
+    copies = dim.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return facts.withColumn("__salt", salt).join(copies, [key, "__salt"], how).drop("__salt")
 
 
 def decode(df: DataFrame, code: str | Column, table: DataFrame, into: str) -> DataFrame:

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rollbook.functions.status import (
-    MAX_ATTEMPTS, PENDING, RETRYABLE, RUNNING, SUCCESS, finished_at, started_at,
+    DEAD, FAILED, FINISHED, MAX_ATTEMPTS, PENDING, RETRYABLE, RUNNING, SUCCESS, finished_at, started_at,
 )
-from rollbook.operators.joins import join_unique
+from rollbook.operators.joins import SALTS, join_unique
 
 EVENT_SCHEMA = (
     "job_id string, run_key string, step_name string, status string, ts timestamp, error string, "
@@ -58,18 +58,26 @@ def step_rollup(events: DataFrame, order: Sequence[str] = ("ts", "seq")) -> Data
     )
 
 
-def since_requeue(events: DataFrame, order: Sequence[str] = ("ts", "seq"), requeue: str = PENDING) -> DataFrame:
-    """Step events after their job was last put back in the queue; the requeue events themselves go.
+def _with_reset(events: DataFrame, of: DataFrame, order: Sequence[str], requeue: str) -> DataFrame:
+    """``of`` with ``reset``, the place in ``order`` at which its job was last put back in the queue.
 
-    The join partner has one row per job; a job with a large share of all events takes the path for hot
-    keys in ``join_unique``.
+    The join partner has one short row per job. The join is salted, since an aggregate by job follows it: a job
+    with a large share of all events is spread over tasks, and combined there before the shuffle.
     """
     resets = (
         events.filter(F.col("status") == requeue).groupBy("job_id").agg(F.max(F.struct(*order)).alias("reset"))
     )
+    return join_unique(of, resets, "job_id", "left", salts=SALTS)
+
+
+def _after_reset(order: Sequence[str]) -> Column:
+    return F.col("reset").isNull() | (F.struct(*order) > F.col("reset"))
+
+
+def since_requeue(events: DataFrame, order: Sequence[str] = ("ts", "seq"), requeue: str = PENDING) -> DataFrame:
+    """Step events after their job was last put back in the queue; the requeue events themselves go."""
     steps = events.filter(F.col("status") != requeue)
-    marked = join_unique(steps, resets, "job_id", "left")
-    return marked.filter(F.col("reset").isNull() | (F.struct(*order) > F.col("reset"))).drop("reset")
+    return _with_reset(events, steps, order, requeue).filter(_after_reset(order)).drop("reset")
 
 
 def job_steps(rollup: DataFrame, job_id: str) -> DataFrame:
@@ -81,23 +89,28 @@ def run_records(
     events: DataFrame, order: Sequence[str] = ("ts", "seq"), max_attempts: int = MAX_ATTEMPTS,
     lease_seconds: int = 3600,
 ) -> DataFrame:
-    """One row per job from its events: attempts are starts, the last status decides."""
-    status, ts = F.col("status"), F.col("ts")
-    rolled = events.groupBy("job_id").agg(
+    """One row per job from its events.
+
+    Going back to the queue clears attempts, lease, times and error; only the creation time stays. A start is
+    an attempt and takes a lease, which a finish leaves as it is. The error is that of the last finish. A
+    failure with no attempt left is final.
+    """
+    status, ts, live = F.col("status"), F.col("ts"), _after_reset(order)
+    rolled = _with_reset(events, events, order, PENDING).groupBy("job_id").agg(
         F.min_by("run_key", F.struct(*order)).alias("run_key"),
-        _latest(["status", "error"], order).alias("last"),
-        F.count_if(status == RUNNING).cast("int").alias("attempts"),
+        F.max_by("status", F.struct(*order)).alias("last"),
+        F.max_by("error", F.when(live & status.isin(*FINISHED), F.struct(*order))).alias("last_error"),
+        F.count_if(live & (status == RUNNING)).cast("int").alias("attempts"),
         F.min("ts").alias("created_at"),
-        F.max(started_at(status, ts)).alias("started_at"),
-        F.max(finished_at(status, ts)).alias("finished_at"),
-    )
-    lease = F.when(
-        F.col("last.status") == RUNNING, F.col("started_at") + F.expr(f"interval {int(lease_seconds)} seconds")
+        F.max(F.when(live, started_at(status, ts))).alias("started_at"),
+        F.max(F.when(live, finished_at(status, ts))).alias("finished_at"),
     )
+    used_up = (F.col("last") == FAILED) & (F.col("attempts") >= max_attempts)
+    lease = F.col("started_at") + F.expr(f"interval {int(lease_seconds)} seconds")
     return rolled.select(
-        "job_id", "run_key", F.col("last.status").alias("status"), "attempts",
+        "job_id", "run_key", F.when(used_up, DEAD).otherwise(F.col("last")).alias("status"), "attempts",
         F.lit(max_attempts).alias("max_attempts"), lease.alias("lease_until"), "created_at", "started_at",
-        "finished_at", F.col("last.error").alias("last_error"),
+        "finished_at", "last_error",
     )
 
 

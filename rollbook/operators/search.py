@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rollbook.functions.text import contains_ci, digits_only
-from rollbook.operators.joins import MIN_HOT_ROWS, join_unique
+from rollbook.operators.joins import join_unique
 
 # Page size of a search, number of branches listed, key lengths.
 DEFAULT_LIMIT, MAX_LIMIT, MAX_BRANCHES = 20, 100, 100
@@ -102,33 +102,27 @@ def list_branches(serving: DataFrame, base_key: str, limit: int = MAX_BRANCHES)
     return serving.filter(F.col("cnpj_basico") == base_key).orderBy("cnpj_ordem", "cnpj_dv").limit(limit)
 
 
-def bulk_lookup(
-    serving: DataFrame, keys: DataFrame, key: str = "key", min_hot_rows: int = MIN_HOT_ROWS
-) -> DataFrame:
+def bulk_lookup(serving: DataFrame, keys: DataFrame, key: str = "key") -> DataFrame:
     """Look up a whole column of keys as typed: ``status`` is found, not_found or invalid.
 
-    Full and base keys are two equi-joins instead of one OR condition, which would compare all pairs.
-    The first branch per company is taken before the join, with the minimum combined ahead of the
-    shuffle, so a company with very many branches is never gathered in one task. A key that very many
-    rows ask for takes the path for hot keys in ``join_unique``.
+    The asked keys are made distinct first. Base keys become full keys in two narrow columns of the table: the
+    least full key per asked company, combined before the shuffle. Wide records are then joined once, by full
+    key, and the answers go back to the asked rows, where a key that very many ask for may be split.
     """
     digits = digits_only(F.col(key))
-    asked = keys.select(F.col(key), digits.alias("__k"), F.length(digits).alias("__n"))
-    records = serving.select("cnpj_completo", "cnpj_basico", F.struct(*serving.columns).alias("record"))
-    firsts = records.groupBy("cnpj_basico").agg(F.min_by("record", "cnpj_completo").alias("record"))
-    by_full = join_unique(
-        asked.filter(F.col("__n") == FULL_LENGTH), records.select(F.col("cnpj_completo").alias("__k"), "record"),
-        "__k", "left", min_hot_rows=min_hot_rows,
-    )
-    by_base = join_unique(
-        asked.filter(F.col("__n") == BASE_LENGTH), firsts.select(F.col("cnpj_basico").alias("__k"), "record"),
-        "__k", "left", min_hot_rows=min_hot_rows,
+    asked = keys.select(F.col(key), digits.alias("__k"))
+    wanted = asked.select("__k").filter(F.length("__k").isin(BASE_LENGTH, FULL_LENGTH)).distinct()
+    bases = wanted.filter(F.length("__k") == BASE_LENGTH)
+    firsts = (
+        serving.select(F.col("cnpj_basico").alias("__k"), F.col("cnpj_completo").alias("__full"))
+        .join(bases, "__k", "left_semi").groupBy("__k").agg(F.min("__full").alias("__full"))
     )
-    wrong = asked.filter(~F.coalesce(F.col("__n").isin(BASE_LENGTH, FULL_LENGTH), F.lit(False)))
-    status = F.when(F.col("record").isNotNull(), "found").otherwise("not_found")
-    answered = by_full.unionByName(by_base).select(key, status.alias("status"), "record.*")
-    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in serving.schema.fields]
-    return answered.unionByName(wrong.select(key, F.lit("invalid").alias("status"), *empty))
+    fulls = wanted.filter(F.length("__k") == FULL_LENGTH).select("__k", F.col("__k").alias("__full"))
+    records = serving.select(F.col("cnpj_completo").alias("__full"), F.struct(*serving.columns).alias("record"))
+    answers = firsts.unionByName(fulls).join(records, "__full").select("__k", "record")
+    valid = F.coalesce(F.length("__k").isin(BASE_LENGTH, FULL_LENGTH), F.lit(False))
+    status = F.when(~valid, "invalid").when(F.col("record").isNotNull(), "found").otherwise("not_found")
+    return join_unique(asked, answers, "__k", "left").select(key, status.alias("status"), "record.*")
 
 
 # Field order of an answer record.
@@ -153,7 +147,11 @@ def response(df: DataFrame) -> DataFrame:
         if name not in df.columns:
             return F.lit(None).cast("string")
         if isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType)):
-            return F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss")
+            # Microseconds only where there are any; a time with a zone is given in UTC.
+            zoned = isinstance(df.schema[name].dataType, T.TimestampType)
+            at = F.to_utc_timestamp(name, F.current_timezone()) if zoned else F.col(name)
+            whole, parts = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), F.date_format(at, "SSSSSS")
+            return F.concat(whole, F.when(parts == "000000", "").otherwise(F.concat(F.lit("."), parts)), F.lit("+00:00" if zoned else ""))
         return F.col(name).cast("string")
 
     return df.select(*[field(c).alias(c) for c in RESPONSE_COLUMNS])

@@ -9,10 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rollbook.functions.text import contains_ci
 
 
-# Candidates up to this number are listed in the scan's condition.
-MAX_LISTED = 500
-
-
 def trigrams(c: Column) -> Column:
     """Distinct three-letter pieces of the lower-cased text; none for shorter text.
 
@@ -54,8 +50,8 @@ def search_indexed(
 ) -> DataFrame:
     """Rows in which one of ``columns`` contains ``text`` in any case; the same answer as a scan.
 
-    Candidates hold every piece of the text in one field; the text itself is then checked again. A short
-    list of candidates becomes a condition the scan can skip row groups by; a long one is joined.
+    Candidates hold every piece of the text in one field; the text itself is then checked again. One lazy plan
+    at every size: Spark broadcasts a short list of candidates and merges a long one.
     """
     condition = None
     for c in columns:
@@ -72,7 +68,4 @@ def search_indexed(
         .filter(F.col("n") == len(pieces))
         .select(key)
     )
-    few = candidates.limit(MAX_LISTED + 1).collect()
-    if len(few) <= MAX_LISTED:
-        return df.filter(F.col(key).isin([r[key] for r in few])).filter(condition)
     return df.filter(condition).join(candidates, key, "left_semi")

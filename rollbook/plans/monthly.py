@@ -44,7 +44,7 @@ class Options:
     run_key: str
     stamp: str = ""
     min_ratio: float = checks.MIN_RATIO
-    multi_line: bool | set[str] | None = None
+    multi_line: bool | dict[bool, list[str]] | None = None
     on_duplicate: str = "error"
     null_exempt_columns: tuple[str, ...] = ()
     check_lengths: bool = True
@@ -104,7 +104,9 @@ def transform(
             # One short row per file. Blank lines never become rows; where no field spans lines they are
             # counted here.
             profile = raw_files.raw_profile(spark, paths).collect()
-            multi_line = {r["name"] for r in profile if r["odd_quote_lines"]}
+            multi_line = {
+                quoted: [r["path"] for r in profile if bool(r["odd_quote_lines"]) == quoted] for quoted in (True, False)
+            }
             blank = sum(r["blank_lines"] for r in profile if not r["odd_quote_lines"])
         raw_rows = raw_files.scan_raw(spark, paths, layout, multi_line)
         cleaned = cleaning.clean_cells(raw_rows, layout.columns, options.null_exempt_columns)

@@ -7,7 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from rollbook.functions.keys import composite_key
-from rollbook.operators.joins import MIN_HOT_ROWS, decode, hot_keys, join_unique
+from rollbook.operators.checks import CheckFailed
+from rollbook.operators.joins import decode, join_unique
 
 # Column order of the serving table.
 SERVING_COLUMNS = (
@@ -47,14 +48,19 @@ def _decoded(df: DataFrame, tables: Mapping[str, DataFrame | None], codes) -> Da
     return df
 
 
-def build_serving(tables: Mapping[str, DataFrame | None], min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
+def build_serving(tables: Mapping[str, DataFrame | None]) -> DataFrame:
     """Serving rows from the current tables (``tables`` by name; a code table may be missing).
 
     Company-level work is done once per company: company and tax regime are unique on the same key, so
-    their join is not skewed, and its output keeps that partitioning for the join with the branches.
-    Only branches can pile up on one company; ``join_unique`` takes care of that. Branches without a
-    company are dropped. ``run_key`` and ``updated_at`` are the company's.
+    their join is not skewed.
+    Only branches can pile up on one company. Adaptive execution splits such a company where both sides of the
+    join come straight from a shuffle that the join asked for, and nothing after it needs its partitioning. So
+    the company key is made a new value, which hides how company rows lie already. Branches without a company are dropped. ``run_key`` and ``updated_at`` are the
+    company's. Without companies or branches there is nothing to serve: ``CheckFailed``.
     """
+    for name in ("empresas", "estabelecimentos"):
+        if tables.get(name) is None:
+            raise CheckFailed(f"{name} was never loaded, nothing can be served")
     company = tables["empresas"].drop("created_at")
     regime = tables.get("simples")
     if regime is None:
@@ -63,12 +69,12 @@ def build_serving(tables: Mapping[str, DataFrame | None], min_hot_rows: int = MI
     else:
         company = company.join(regime.select("cnpj_basico", *TAX_REGIME_COLUMNS), "cnpj_basico", "left")
     company = _decoded(company, tables, COMPANY_CODES)
+    company = company.withColumn("cnpj_basico", F.concat("cnpj_basico", F.lit("")))
 
-    hot = hot_keys(tables["estabelecimentos"], "cnpj_basico", min_rows=min_hot_rows)
     branch = tables["estabelecimentos"].drop("run_key", "created_at", "updated_at")
     branch = _decoded(branch, tables, BRANCH_CODES)
 
-    wide = join_unique(branch, company, "cnpj_basico", "inner", hot=hot)
+    wide = join_unique(branch, company, "cnpj_basico")
     wide = wide.withColumn("cnpj_completo", composite_key("cnpj_basico", "cnpj_ordem", "cnpj_dv"))
     return wide.select(*SERVING_COLUMNS)
 

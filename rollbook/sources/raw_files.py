@@ -33,7 +33,7 @@ def match_sources(files: DataFrame, layouts: Iterable[Layout] = tuple(LAYOUTS.va
 
 
 def raw_profile(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Per file: physical lines, blank lines, and lines with an odd number of quotes.
+    """Per file (``path`` in full): physical lines, blank lines, and lines with an odd number of quotes.
 
     A file without an odd line holds no quoted line break, so its lines are its records.
     """
@@ -41,11 +41,11 @@ def raw_profile(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return (
         spark.read.text(list(paths))
         .select(
-            percent_decode(file_name(F.col("_metadata.file_path"))).alias("name"),
+            percent_decode(F.col("_metadata.file_path")).alias("path"),
             (quotes % 2 == 1).alias("odd"),
             (~F.col("value").rlike(r"[^\x00-\x20]")).alias("blank"),
         )
-        .groupBy("name")
+        .groupBy("path")
         .agg(
             F.count("*").alias("lines"),
             F.count_if("blank").alias("blank_lines"),
@@ -54,34 +54,38 @@ def raw_profile(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
-def quoted_files(profile: DataFrame) -> set[str]:
-    """Names of the files that hold quoted line breaks; one short row per file of a drop."""
-    return {row["name"] for row in profile.filter("odd_quote_lines > 0").select("name").collect()}
+def files_by_reader(profile: DataFrame) -> dict[bool, list[str]]:
+    """Paths of a drop's files: True those that hold quoted line breaks, False the others.
+
+    One short row per file. A file without a line has no row here, and none for a reader either.
+    """
+    found: dict[bool, list[str]] = {True: [], False: []}
+    for row in profile.select("path", (F.col("odd_quote_lines") > 0).alias("quoted")).orderBy("path").collect():
+        found[row["quoted"]].append(row["path"])
+    return found
 
 
 def scan_raw(
-    spark: SparkSession, paths: Sequence[str], layout: Layout, multi_line: bool | set[str] | None = None,
+    spark: SparkSession, paths: Sequence[str], layout: Layout, multi_line: bool | dict[bool, list[str]] | None = None,
     with_source: bool = False,
 ) -> DataFrame:
-    """Several headerless part files as one table of text columns.
+    """Several headerless part files, or folders of them, as one table of text columns.
 
     Short rows are padded with nulls and long rows cut. A quoted line break needs the multi-line reader,
-    which takes one task per file. ``multi_line`` says where to use it: everywhere, nowhere, or for a set
-    of file names; None looks for those files first, so that all others are read in splits.
+    which takes one task per file. ``multi_line`` says where to use it: everywhere, nowhere, or by file
+    (``files_by_reader``); None looks for those files first, so that all others are read in splits.
     """
-    paths = sorted(paths)
     if multi_line is None:
-        multi_line = quoted_files(raw_profile(spark, paths))
-
-    def whole(path: str) -> bool:
-        return multi_line if isinstance(multi_line, bool) else path.rsplit("/", 1)[-1] in multi_line
-
+        multi_line = files_by_reader(raw_profile(spark, paths))
+    if isinstance(multi_line, bool):
+        multi_line = {multi_line: sorted(paths)}
+    elif not multi_line.get(True):
+        multi_line = {False: sorted(paths)}
     frames = []
-    for per_file in (True, False):
-        members = [p for p in paths if whole(p) == per_file]
+    for whole, members in multi_line.items():
         if not members:
             continue
-        reader = spark.read.schema(layout.schema).options(**RAW_OPTIONS).option("multiLine", per_file)
+        reader = spark.read.schema(layout.schema).options(**RAW_OPTIONS).option("multiLine", whole)
         frame = reader.csv(members)
         if with_source:
             frame = frame.select("*", F.col("_metadata.file_path").alias("source_path"))

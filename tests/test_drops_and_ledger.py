@@ -129,7 +129,7 @@ def test_runs(spark):
     data = [("a", "s", "RUNNING", None), ("a", "s", "FAILED", "x")] * 3 + [("b", "s", "PENDING", None), ("c", "s", "RUNNING", None)]
     runs = L.run_records(event_table(spark, data))
     got = {r["job_id"]: (r["status"], r["attempts"], r["last_error"]) for r in runs.collect()}
-    assert got == {"a": ("FAILED", 3, "x"), "b": ("PENDING", 0, None), "c": ("RUNNING", 1, None)}
+    assert got == {"a": ("DEAD", 3, "x"), "b": ("PENDING", 0, None), "c": ("RUNNING", 1, None)}
     now = F.lit("2026-03-02 00:00:00").cast("timestamp")
     assert rows(L.eligible_runs(runs, now), "job_id") == {("b",)}
     assert rows(L.next_run(runs, now), "job_id") == {("b",)}
@@ -140,6 +140,26 @@ def test_runs(spark):
     assert L.last_success(runs).first()["last_success_run_key"] is None
 
 
+def test_requeue_clears_a_run(spark):
+    """Back in the queue: attempts, lease, times and error are gone; a finished run keeps its lease until then."""
+    used_up = [("a", "run", s, e) for s, e in (("RUNNING", None), ("FAILED", "x")) * 2 + (("RUNNING", None), ("DEAD", "y"))]
+    before = L.run_records(event_table(spark, used_up)).first()
+    assert (before["status"], before["attempts"], before["last_error"]) == ("DEAD", 3, "y")
+    assert before["finished_at"] > before["started_at"] and before["lease_until"] is not None
+    after = L.run_records(event_table(spark, [*used_up, ("a", "run", "PENDING", None)]))
+    row = after.first()
+    assert (row["status"], row["attempts"], row["last_error"]) == ("PENDING", 0, None)
+    assert row["started_at"] is None and row["finished_at"] is None and row["lease_until"] is None
+    assert row["created_at"] == before["created_at"]
+    assert rows(L.eligible_runs(after, F.lit("2026-03-01").cast("timestamp")), "job_id") == {("a",)}
+    failed = L.run_records(event_table(spark, used_up[:2]))
+    lease = failed.first()["lease_until"]
+    early, late = (F.lit(str(t)).cast("timestamp") for t in (before["created_at"], "2099-01-01"))
+    assert lease > before["created_at"] and L.eligible_runs(failed, early).isEmpty() and not L.eligible_runs(failed, late).isEmpty()
+    again = L.run_records(event_table(spark, [*used_up[:2], ("a", "run", "RUNNING", None)])).first()
+    assert (again["status"], again["last_error"]) == ("RUNNING", "x")
+
+
 def test_summary_and_counts(spark):
     data = [(f"j{i}", "s", "SUCCESS", None) for i in range(8)]
     runs = L.run_records(event_table(spark, data))

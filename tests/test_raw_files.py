@@ -64,10 +64,23 @@ def test_counters(spark, drop):
 
 
 def test_profile_finds_quoted_line_breaks_and_blank_lines(spark, drop):
-    profile = {r["name"]: r for r in R.raw_profile(spark, sources(spark, drop)).collect()}
+    profile = {r["path"].rsplit("/", 1)[-1]: r for r in R.raw_profile(spark, sources(spark, drop)).collect()}
     assert profile["K3241.K03200Y0.D51213.EMPRECSV"]["blank_lines"] == 1
     assert profile["K3241.K03200Y0.D51213.EMPRECSV"]["odd_quote_lines"] == 0
-    assert R.quoted_files(R.raw_profile(spark, sources(spark, drop))) == {"K3241.K03200Y1.D51213.EMPRECSV"}
+    by_reader = R.files_by_reader(R.raw_profile(spark, sources(spark, drop)))
+    assert [p.rsplit(".", 2)[-2:] for p in by_reader[True]] == [["D51213", "EMPRECSV"]] and len(by_reader[False]) == 1
+    assert "K03200Y1" in by_reader[True][0]
+
+
+def test_folders_and_files_of_one_name(spark, tmp_path):
+    """Line breaks survive a scan by folder, and a name shared with a plain file decides nothing."""
+    for folder, text in (("a b", '1;"a\nb"\n2;c\n'), ("c", '3;5" tube\n'), ("d", "4;plain\n"), ("e", "")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "EMPRECSV").write_text(text, encoding="latin-1")
+    folders = [str(tmp_path / f) for f in ("a b", "c", "d", "e")]
+    got = {(r[0], r[1]) for r in R.scan_raw(spark, folders, EMPRESAS).collect()}
+    assert got == {("1", "a\nb"), ("2", "c"), ("3", '5" tube'), ("4", "plain")}
+    assert R.scan_raw(spark, [folders[3]], EMPRESAS).count() == 0
 
 
 def test_source_path(spark, drop):

@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollbook.operators import search as S, trigram
-from rollbook.operators.joins import decode, hot_keys, join_unique
+from rollbook.operators.checks import CheckFailed
+from rollbook.operators.joins import decode, join_unique
 from rollbook.plans.serving import SERVING_COLUMNS, build_serving, laid_out
 from rollbook.sources.tables import TableFolder
 from tests.helpers import plan_of, rows
@@ -25,32 +26,46 @@ def test_columns_and_key(view):
     assert view.count() == view.select("cnpj_completo").distinct().count()
 
 
-def test_hot_company(spark, tables):
-    """A third of all branches belong to one company: same rows, hot ones not shuffled."""
-    branch = tables["estabelecimentos"]
-    hot_branch = branch.withColumn(
-        "cnpj_basico", F.when(F.xxhash64("cnpj_ordem", "cnpj_dv") % 3 == 0, "00000001").otherwise(F.col("cnpj_basico"))
-    )
-    skewed = {**tables, "estabelecimentos": hot_branch}
-    assert hot_keys(hot_branch, "cnpj_basico", min_rows=100) == ["00000001"]
-    assert hot_keys(hot_branch, "cnpj_basico") == []
-    plain, routed = build_serving(skewed), build_serving(skewed, min_hot_rows=100)
-    assert "Union" in plan_of(routed) and "Union" not in plan_of(plain)
-    assert rows(plain) == rows(routed)
+SMALL = {
+    "spark.sql.autoBroadcastJoinThreshold": "10k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    "spark.sql.adaptive.enabled": "true",
+}
+
+
+@pytest.fixture
+def small_tasks(spark):
+    """Sizes at which adaptive execution takes this data for large."""
+    old = {k: spark.conf.get(k, None) for k in SMALL}
+    for k, v in SMALL.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_company(spark, tables, sf_dir, small_tasks):
+    """A third of all branches belong to one company: its rows are split over tasks."""
+    branches = roles.skewed_branches(roles.table(spark, sf_dir, "orders").repartition(8))
+    skewed = build_serving({**tables, "estabelecimentos": branches})
+    assert skewed.filter("cnpj_basico = '00000001'").count() > skewed.count() / 4
+    skewed.collect()
+    assert "skew=true" in skewed._jdf.queryExecution().executedPlan().toString()
 
 
-def test_join_unique_left_keeps_null_keys(spark):
-    facts = spark.createDataFrame([("a", i) for i in range(50)] + [(None, 50), ("b", 51), ("c", 52)], "k string, i int")
-    dim = spark.createDataFrame([("a", "A"), ("b", "B")], "k string, d string")
-    got = join_unique(facts, dim, "k", "left", min_hot_rows=10)
-    assert rows(got) == rows(facts.join(dim, "k", "left"))
+@pytest.mark.parametrize("salts", [1, 16])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_join_unique(spark, how, salts):
+    facts = spark.createDataFrame([("a", i % 40) for i in range(50)] + [(None, 50), ("b", 51), ("c", 52)], "k string, i int")
+    dim = spark.createDataFrame([("a", "A"), ("b", "B"), (None, "N")], "k string, d string")
+    got = join_unique(facts, dim, "k", how, salts)
+    assert rows(got) == rows(facts.join(dim, "k", how)) and got.columns == ["k", "i", "d"]
+    assert got.count() == (53 if how == "left" else 51)
 
 
-def test_join_unique_with_a_table_that_is_not_unique(spark):
-    facts = spark.range(100).select(F.lit("a").alias("k"), "id")
-    dim = spark.range(1500).select(F.lit("a").alias("k"), F.col("id").alias("d"))
-    got = join_unique(facts, dim, "k", min_hot_rows=10)
-    assert "Union" not in plan_of(got) and got.count() == 150000
+def test_serving_needs_its_base_tables(tables):
+    with pytest.raises(CheckFailed, match="empresas"):
+        build_serving({**tables, "empresas": None})
 
 
 def test_code_tables_are_broadcast_by_size_only(spark, tables):
@@ -131,15 +146,20 @@ def test_bulk_lookup_against_single_lookups(spark, view):
         assert got[key] == expected
     assert len(got) == len(set(keys))
     many = asked.unionByName(spark.range(300).select(F.lit(some[0]).alias("key")))
-    assert rows(S.bulk_lookup(view, many, min_hot_rows=100)) == rows(S.bulk_lookup(view, many))
-    assert S.bulk_lookup(view, many, min_hot_rows=100).count() == len(got) + 300
+    assert S.bulk_lookup(view, many).count() == len(got) + 300
+    physical = plan_of(S.bulk_lookup(view, many)).split("== Physical Plan ==")[1]
+    assert not [line for line in physical.splitlines() if "SortAggregate" in line and "record" in line]
     assert "CartesianProduct" not in plan_of(S.bulk_lookup(view, asked))
 
 
 def test_response_is_text(view):
     answer = S.response(view)
     assert answer.schema == S.RESPONSE_SCHEMA
-    assert answer.first()["updated_at"] == "2026-02-01T00:00:00"
+    assert answer.first()["updated_at"] == "2026-02-01T00:00:00+00:00"
+    stamps = view.limit(1).withColumn("updated_at", F.expr("timestamp_ntz'2026-02-01 10:11:12.345678'"))
+    assert S.response(stamps).first()["updated_at"] == "2026-02-01T10:11:12.345678"
+    zoned = stamps.withColumn("updated_at", F.expr("timestamp'2026-02-01 10:11:12.345678+02:00'"))
+    assert S.response(zoned).first()["updated_at"] == "2026-02-01T08:11:12.345678+00:00"
     assert S.response(view.drop("uf")).filter("uf is not null").isEmpty()
 
 
@@ -155,11 +175,11 @@ def test_trigram_search_equals_scan(spark, view, text, tmp_path):
     assert rows(found) == rows(scan)
 
 
-def test_few_candidates_are_listed_in_the_scan(spark, view):
+def test_candidates_are_joined_in_one_lazy_plan(spark, view):
     index = trigram.build_index(view.select("cnpj_completo", "razao_social"), "cnpj_completo", ["razao_social"])
     few = trigram.search_indexed(view, index, "cnpj_completo", ["razao_social"], "0000149")
     many = trigram.search_indexed(view, index, "cnpj_completo", ["razao_social"], "customer")
-    assert "LeftSemi" not in plan_of(few) and "LeftSemi" in plan_of(many)
+    assert "LeftSemi" in plan_of(few) and "LeftSemi" in plan_of(many)
     assert few.count() > 0 and many.count() == view.count()
 
 

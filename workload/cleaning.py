@@ -154,6 +154,26 @@ def raw_multiline_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "lang", "source", F.md5("text").alias("digest"), F.length("text").alias("n"), "missing")
 
 
+_TUBE = """p_name || ' 5" tube'"""
+
+
+@query(
+    "raw_folder_roundtrip",
+    f"SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, source, md5({cleaned('text')}) AS digest, "
+    f"length({cleaned('text')}) AS n FROM documents UNION ALL "
+    f"SELECT 'p' || CAST(p_partkey AS VARCHAR), NULL, NULL, md5({cleaned(_TUBE)}), length({cleaned(_TUBE)}) FROM part",
+)
+def raw_folder_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders of raw files: texts with quoted line breaks, and names with a quote that opens nothing."""
+    texts, names = work_dir(spark, "raw-texts"), work_dir(spark, "raw-names")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string"), "lang", "source", "text")
+    raw_files.write_raw(docs, texts)
+    lines = F.concat(F.lit("p"), F.col("p_partkey").cast("string"), F.lit(";;;"), "p_name", F.lit(' 5" tube'))
+    table(spark, sf_dir, "part").select(lines).write.text(names)
+    rows = C.clean_table(raw_files.scan_raw(spark, [texts, names], DOCUMENTS), DOCUMENTS, ["doc_id"])
+    return rows.select("doc_id", "lang", "source", F.md5("text").alias("digest"), F.length("text").alias("n"))
+
+
 @query(
     "raw_file_profile",
     "SELECT 'orders' AS kind, count(*) AS lines, 0 AS blank_lines, 0 AS odd_quote_lines FROM orders",

@@ -93,34 +93,32 @@ def recent_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _NOW = "2024-01-30 22:00:00"
 _FREE = (
-    f"status IN ('PENDING', 'FAILED') AND attempts < max_attempts * 5 AND (lease_until IS NULL OR lease_until < "
+    f"status IN ('PENDING', 'FAILED') AND attempts < max_attempts AND (lease_until IS NULL OR lease_until < "
     f"TIMESTAMP '{_NOW}')"
 )
 
 
 @query("eligible_runs", sql(RUNS, f"SELECT job_id, run_key, status, attempts FROM runs WHERE {_FREE}"))
 def eligible_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = _runs(spark, sf_dir).withColumn("max_attempts", F.col("max_attempts") * 5)
-    return L.eligible_runs(runs, _NOW).select("job_id", "run_key", "status", "attempts")
+    return L.eligible_runs(_runs(spark, sf_dir), _NOW).select("job_id", "run_key", "status", "attempts")
 
 
 @query("next_run", sql(RUNS, f"SELECT job_id, run_key, status, attempts FROM runs WHERE {_FREE} ORDER BY created_at, job_id "
                              "LIMIT 1"))
 def next_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = _runs(spark, sf_dir).withColumn("max_attempts", F.col("max_attempts") * 5)
-    return L.next_run(runs, _NOW).select("job_id", "run_key", "status", "attempts")
+    return L.next_run(_runs(spark, sf_dir), _NOW).select("job_id", "run_key", "status", "attempts")
 
 
 @query(
     "final_status",
-    sql(RUNS, "SELECT job_id, attempts, CASE WHEN status = 'SUCCESS' THEN 'SUCCESS' WHEN attempts >= 12 THEN 'DEAD' "
+    sql(RUNS, "SELECT job_id, attempts, CASE WHEN status = 'SUCCESS' THEN 'SUCCESS' WHEN attempts >= max_attempts THEN 'DEAD' "
               "ELSE 'FAILED' END AS final_status FROM runs"),
 )
 def final_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What each run becomes if it ends now, with twelve attempts allowed."""
+    """What each run becomes if it ends now."""
     return _runs(spark, sf_dir).select(
         "job_id", "attempts",
-        final_status(F.col("status") == "SUCCESS", F.col("attempts"), F.lit(12)).alias("final_status"),
+        final_status(F.col("status") == "SUCCESS", F.col("attempts"), F.col("max_attempts")).alias("final_status"),
     )
 
 

@@ -167,12 +167,14 @@ FRAGMENTS: dict[str, str] = {
         "event_id AS seq FROM events"
     ),
     "runs": (
-        "SELECT job_id, arg_min(run_key, seq) AS run_key, arg_max(status, seq) AS status, "
-        "CAST(count(*) FILTER (status = 'RUNNING') AS INTEGER) AS attempts, 3 AS max_attempts, "
-        "CASE WHEN arg_max(status, seq) = 'RUNNING' THEN max(ts) FILTER (status = 'RUNNING') + INTERVAL 1 HOUR END "
-        "AS lease_until, min(ts) AS created_at, max(ts) FILTER (status = 'RUNNING') AS started_at, "
-        "max(ts) FILTER (status IN ('SUCCESS', 'FAILED', 'SKIPPED')) AS finished_at, "
-        "(array_agg(error ORDER BY seq DESC))[1] AS last_error FROM run_events GROUP BY job_id"
+        "SELECT job_id, run_key, CASE WHEN last = 'FAILED' AND attempts >= 3 THEN 'DEAD' ELSE last END AS status, attempts, "
+        "3 AS max_attempts, started_at + INTERVAL 1 HOUR AS lease_until, created_at, started_at, finished_at, last_error "
+        "FROM (SELECT job_id, arg_min(run_key, seq) AS run_key, arg_max(status, seq) AS last, "
+        "CAST(count(*) FILTER (live AND status = 'RUNNING') AS INTEGER) AS attempts, min(ts) AS created_at, "
+        "max(ts) FILTER (live AND status = 'RUNNING') AS started_at, max(ts) FILTER (live AND ended) AS finished_at, "
+        "(array_agg(error ORDER BY seq DESC) FILTER (live AND ended))[1] AS last_error FROM (SELECT e.*, "
+        "status IN ('SUCCESS', 'FAILED', 'SKIPPED', 'DEAD') AS ended, NOT EXISTS (SELECT 1 FROM run_events p WHERE "
+        "p.job_id = e.job_id AND p.status = 'PENDING' AND p.seq >= e.seq) AS live FROM run_events e) GROUP BY job_id)"
     ),
 }
 STAR = ("empresas", "simples", "estabelecimentos", "known_nations", "cnaes", "municipios", "motivos", "portes", "star")
@@ -194,6 +196,10 @@ FRAGMENTS["merged"] = (
 )
 MERGED = (*MERGE, "merged")
 CLEAN = ("raw_companies", "clean_companies")
+#: Branches of which a third belong to one company.
+SKEWED_BRANCHES = (
+    f"SELECT {_BRANCHES} FROM (SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey END AS o_custkey) FROM orders)"
+)
 RUNS = ("run_events", "runs")
 
 

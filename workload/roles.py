@@ -83,6 +83,12 @@ def estabelecimentos(orders: DataFrame) -> DataFrame:
     )
 
 
+def skewed_branches(orders: DataFrame) -> DataFrame:
+    """Branches of which a third belong to one company."""
+    company = F.when(F.col("o_orderkey") % 3 == 0, 1).otherwise(F.col("o_custkey"))
+    return stamped(estabelecimentos(orders.withColumn("o_custkey", company)))
+
+
 def nation_codes(nation: DataFrame, width: int) -> DataFrame:
     return nation.select(zero_pad(F.col("n_nationkey"), width).alias("codigo"), F.col("n_name").alias("descricao"))
 

@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollbook.operators import search as S, trigram
-from rollbook.operators.joins import join_unique
+from rollbook.operators.joins import SALTS, join_unique
 from rollbook.plans.serving import build_serving, laid_out
 from rollbook.session import work_dir
 from rollbook.sources.tables import TableFolder
 from workload import roles
 from workload.catalog import query
-from workload.oracle import STAR, sql, zpad
+from workload.oracle import SKEWED_BRANCHES, STAR, sql, zpad
 from workload.roles import STAMP_FORMAT, table
 
 
@@ -84,31 +84,38 @@ def orphan_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_serving(tables).select("cnpj_completo", "razao_social")
 
 
-@query("star_view_hot_keys", sql(STAR, "SELECT * FROM star"))
+@query("star_view_hot_keys", sql(STAR, "SELECT * FROM star", estabelecimentos=SKEWED_BRANCHES))
 def star_view_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same view with the route for hot companies switched on at a low count."""
-    return dated(build_serving(roles.registry_tables(spark, sf_dir), min_hot_rows=20), "updated_at")
+    """The same view where a third of all branches belong to one company."""
+    tables = roles.registry_tables(spark, sf_dir)
+    tables["estabelecimentos"] = roles.skewed_branches(table(spark, sf_dir, "orders"))
+    return dated(build_serving(tables), "updated_at")
+
+
+_HOT_PART = "CASE WHEN (l_orderkey + l_linenumber) % 3 = 0 THEN 1 ELSE l_partkey END"
 
 
 @query(
     "hot_key_join",
-    "SELECT o_orderkey, l_linenumber, l_partkey, p_name FROM lineitem JOIN orders ON o_orderkey = l_orderkey "
-    "JOIN part ON p_partkey = l_partkey",
+    f"SELECT o_orderkey, l_linenumber, {_HOT_PART} AS l_partkey, p_name FROM lineitem JOIN orders ON o_orderkey = l_orderkey "
+    f"JOIN part ON p_partkey = {_HOT_PART}",
 )
 def hot_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two fact-to-dimension joins through the hot-key route."""
+    """Two fact-to-dimension joins where a third of all lines are of one part; the first one is salted."""
     line = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("p_partkey"), "l_linenumber"
+        F.col("l_orderkey").alias("o_orderkey"), F.expr(_HOT_PART).alias("p_partkey"), "l_linenumber"
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    joined = join_unique(join_unique(line, part, "p_partkey"), orders, "o_orderkey")
+    joined = join_unique(join_unique(line, part, "p_partkey", salts=SALTS), orders, "o_orderkey")
     return joined.select("o_orderkey", "l_linenumber", F.col("p_partkey").alias("l_partkey"), "p_name")
 
 
-@query("response_records", sql(STAR, "SELECT * REPLACE (replace(updated_at, ' ', 'T') AS updated_at) FROM star"))
+@query("response_records", sql(STAR, "SELECT * REPLACE (replace(updated_at, ' ', 'T') || '.123456+00:00' AS updated_at) FROM star"))
 def response_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.response(build_serving(roles.registry_tables(spark, sf_dir)))
+    """Answer records; their stamps have microseconds."""
+    view = build_serving(roles.registry_tables(spark, sf_dir))
+    return S.response(view.withColumn("updated_at", F.col("updated_at") + F.expr("interval 123456 microseconds")))
 
 
 def _search(name: str, where: str, rows: int, **arguments) -> None:
@@ -156,7 +163,7 @@ def search_trigram(spark: SparkSession, sf_dir: str) -> DataFrame:
     sql(STAR, "SELECT * FROM star WHERE razao_social ILIKE '%00000123%' OR nome_fantasia ILIKE '%00000123%'"),
 )
 def search_trigram_selective(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Few hits: their keys go to the scan."""
+    """Few hits."""
     return trigram.search_indexed(served(spark, sf_dir), _pieces(spark, sf_dir), "cnpj_completo", _NAMES, "00000123")
 
 
