@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rollbook.functions.status import RETRYABLE, SUCCESS
 from rollbook.functions.text import is_month_folder, month_in_name
 from rollbook.sources.registry import WANTED_ARCHIVES
 
@@ -60,6 +61,46 @@ def files_changed(old: DataFrame | None, new: DataFrame) -> bool:
     return old is None or not manifest_diff(old, new).isEmpty()
 
 
+# What is done about a drop that was listed.
+LOAD, RESUME, DONE, UNCHANGED = "load", "resume", "done", "unchanged"
+
+
+def load_decisions(old: DataFrame, new: DataFrame, runs: DataFrame) -> DataFrame:
+    """Per listed run key: its files, how many of them changed since the last listing, and what to do.
+
+    ``old`` and ``new`` are listings with ``run_key``, ``name`` and ``etag``, ``runs`` has one row per run key. A
+    run key that succeeded is done. One that was never listed, or differs from its last listing, is loaded; the
+    same files again are resumed while their run may start again.
+    """
+    o = old.select("run_key", "name", F.col("etag").alias("old_etag"), F.lit(True).alias("in_old"))
+    n = new.select("run_key", "name", F.col("etag").alias("new_etag"), F.lit(True).alias("in_new"))
+    same = F.col("in_old").isNotNull() & F.col("in_new").isNotNull() & F.col("old_etag").eqNullSafe(F.col("new_etag"))
+    status = F.col("status")
+    return (
+        o.join(n, ["run_key", "name"], "full_outer").groupBy("run_key")
+        .agg(F.count("in_new").alias("files"), F.count_if(~same).alias("changes"))
+        .filter("files > 0")
+        .join(runs.select("run_key", "status"), "run_key", "left")
+        .select(
+            "run_key", "files", "changes",
+            F.when(status == SUCCESS, DONE).when(F.col("changes") > 0, LOAD).when(status.isin(*RETRYABLE), RESUME)
+            .otherwise(UNCHANGED).alias("decision"),
+        )
+    )
+
+
+def manifest_check(expected: DataFrame, found: DataFrame) -> DataFrame:
+    """Files of a drop that are ``missing``, ``extra`` or of another size than its listing says."""
+    e = expected.select("name", F.col("size").alias("listed_size"), F.lit(True).alias("listed"))
+    f = found.select("name", F.col("size").alias("found_size"), F.lit(True).alias("found"))
+    problem = (
+        F.when(F.col("found").isNull(), "missing").when(F.col("listed").isNull(), "extra")
+        .when(~F.col("listed_size").eqNullSafe(F.col("found_size")), "size differs")
+    )
+    checked = e.join(f, "name", "full_outer").select("name", problem.alias("problem"), "listed_size", "found_size")
+    return checked.filter("problem is not null")
+
+
 def smallest_files(files: DataFrame, k: int) -> DataFrame:
     """The k smallest files (at least one) by size, then name."""
     return files.orderBy("size", "name").limit(max(1, k))

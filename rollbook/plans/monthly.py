@@ -15,6 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rollbook.functions.keys import key_present
@@ -23,7 +24,7 @@ from rollbook.functions.text import file_name
 from rollbook.operators import checks, cleaning, drops, ledger, merge
 from rollbook.plans.serving import SERVING_COLUMNS, build_serving, laid_out
 from rollbook.session import build_session, work_dir
-from rollbook.sources import archives, raw_files
+from rollbook.sources import archives, listings, raw_files
 from rollbook.sources.registry import (
     LAYOUTS, MERGE, REPLACE, REPLACE_KEYED, Layout, stamped_schema,
 )
@@ -166,10 +167,14 @@ def load_table(
     return version, (name, folder.write(name, version, new).count(), 0, 0)
 
 
-def load(spark: SparkSession, folder: TableFolder, options: Options, tables: list[str] | None = None) -> DataFrame:
+def load(
+    spark: SparkSession, folder: TableFolder, options: Options, tables: list[str] | None = None,
+    report: Callable[[DataFrame], object] | None = None,
+) -> DataFrame:
     """Load every curated table; unknown names are skipped with a warning. Returns the counters.
 
-    Tables that passed are published even if another one fails, which is then reported.
+    Tables that passed are published even if another one fails; ``report`` then gets their counters, before
+    the failure is raised.
     """
     versions = folder.current_versions()
     wanted = []
@@ -191,10 +196,13 @@ def load(spark: SparkSession, folder: TableFolder, options: Options, tables: lis
 
     done = side_by_side(one, wanted)
     folder.publish({name: version for name, version, _ in done if version}, options.run_key)
+    counters = small_table(spark, [counts for _, version, counts in done if version], LOAD_SCHEMA)
     failures = [(name, result) for name, _, result in done if isinstance(result, Exception)]
+    if failures and report:
+        report(counters)
     if failures:
         raise checks.CheckFailed("; ".join(str(exc) for _, exc in failures)) from failures[0][1]
-    return small_table(spark, [counts for _, version, counts in done if version], LOAD_SCHEMA)
+    return counters
 
 
 SERVING = "serving"
@@ -300,6 +308,7 @@ def run_load(
 
     A dry run stops after cleaning and uses the ``max_files`` smallest archives only; a real load takes all.
     ``expected`` is the drop's listing: the load fails before it reads anything if a wanted archive of it is missing.
+    Archives are unpacked below their run key, into a new folder each time the run goes back to the queue.
     """
     if max_files is not None and not dry_run:
         raise ValueError("max_files is for dry runs: a load of some archives would delete the rows of the others")
@@ -309,6 +318,10 @@ def run_load(
     if options.force:
         events.append(job_id, options.run_key, ledger.WHOLE_RUN, PENDING)
 
+    if archive_folder:
+        requeued = ledger.whole_runs(events.read()).filter((F.col("job_id") == job_id) & (F.col("status") == PENDING)).count()
+        raw = f"{raw.rstrip('/')}/run_key={options.run_key}/requeued={requeued}"
+
     def metrics_path(name: str) -> str:
         return f"{root.rstrip('/')}/metrics/{name}/run_key={options.run_key}"
 
@@ -344,7 +357,11 @@ def run_load(
         # Eleven rows: only tables this drop brought a file for are loaded.
         report = spark.read.schema(METRIC_SCHEMA).json(metrics_path("transform"))
         brought = {r["table"] for r in report.filter("files > 0").select("table").collect()}
-        return metrics("load", load(spark, folder, options, [t for t in options.layouts if t in brought]))
+        tables = [t for t in options.layouts if t in brought]
+        # A retry finds the published tables unchanged: what the failed attempt did stays on record.
+        return metrics("load", load(
+            spark, folder, options, tables, lambda done: done.write.mode("append").json(metrics_path("load_partial"))
+        ))
 
     steps.append(("transform", transform_step))
     if not dry_run:
@@ -357,20 +374,67 @@ def run_load(
     return job_id
 
 
+def run_drop(
+    spark: SparkSession, root: str, raw: str, archive_folder: str, listing: DataFrame, run_key: str | None = None,
+    force: bool = False, check_only: bool = False, **settings,
+) -> dict:
+    """From a listing of the source to the load: month, wanted files, decision, manifest, run.
+
+    The month is the latest one named in the listing, unless given. Nothing is written when ``check_only`` is
+    set or nothing is to be done. The manifest is saved before the run, so that the same files do not start a
+    second one; a run that failed on them is resumed. ``settings`` are those of ``Options``.
+    """
+    key = run_key or drops.latest_month(listing).first()["run_key"]
+    month = F.lit(key).alias("run_key")
+    wanted = drops.wanted_files(listing).select(month, "*")
+    path = f"{root.rstrip('/')}/manifests/run_key={key}"
+    try:
+        old = listings.read_manifest(spark, path, one_document=False)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        old = spark.createDataFrame([], "run_key string, name string, etag string")
+    events = RunEvents(spark, f"{root.rstrip('/')}/run_events")
+    runs = ledger.run_records(ledger.whole_runs(events.read())).filter(F.col("job_id") == f"load-{key}")
+    # One row: the one run key.
+    found = drops.load_decisions(old, wanted, runs).first()
+    if found is None:
+        raise LoadFailed(f"{key}: the listing names no wanted archive")
+    decision = drops.LOAD if force else found["decision"]
+    answer = {"run_key": key, "files": found["files"], "decision": decision, "job_id": None}
+    if check_only or decision not in (drops.LOAD, drops.RESUME):
+        return answer
+    if decision == drops.LOAD:
+        listings.write_manifest(wanted, key, path)
+    options = Options(key, force=decision == drops.LOAD and not runs.isEmpty(), **settings)
+    return {**answer, "job_id": run_load(spark, root, raw, options, archive_folder, expected=wanted)}
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description="Load one monthly drop")
     parser.add_argument("--root", required=True, help="folder of the versioned tables")
     parser.add_argument("--raw", required=True, help="folder of the raw files")
     parser.add_argument("--archives", help="folder of the ZIP archives to unpack into --raw")
-    parser.add_argument("--run-key", required=True, help="YYYY-MM")
+    parser.add_argument("--run-key", help="YYYY-MM; with --listing: the latest month in it")
+    parser.add_argument("--listing", help="saved XML listing of the source: decides what to load from --archives")
+    parser.add_argument("--check-only", action="store_true", help="with --listing: only say what would be done")
     parser.add_argument("--force", action="store_true", help="run again even if done before")
     parser.add_argument("--dry-run", action="store_true", help="stop after cleaning")
     parser.add_argument("--max-files", type=int, help="with --archives and --dry-run: the k smallest only")
     parser.add_argument("--single-line", action="store_true", help="no field spans lines: skip the check for it")
     args = parser.parse_args(argv)
+    if not args.run_key and not args.listing or args.listing and not args.archives:
+        parser.error("give --run-key, or --listing together with --archives")
     spark = build_session()
-    options = Options(args.run_key, multi_line=False if args.single_line else None, force=args.force)
+    multi_line = False if args.single_line else None
+    options = Options(args.run_key, multi_line=multi_line, force=args.force)
     try:
+        if args.listing:
+            print(json.dumps(run_drop(
+                spark, args.root, args.raw, args.archives, listings.read_listing(spark, args.listing), args.run_key,
+                args.force, args.check_only, multi_line=multi_line,
+            )))
+            return 0
         job_id = run_load(spark, args.root, args.raw, options, args.archives, args.max_files, args.dry_run)
     except LoadFailed as exc:
         print(json.dumps({"run_key": args.run_key, "error": str(exc)}), file=sys.stderr)

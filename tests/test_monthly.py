@@ -305,3 +305,56 @@ def test_watch_drops_handles_each_note_once(spark, tmp_path):
         (notes / f"{key}.json").write_text(f'{{"run_key": "{key}", "folder": "f{i}"}}\n')
         watch_drops(spark, str(notes), str(tmp_path / "cp"), lambda k, f: seen.append((k, f))).awaitTermination()
     assert seen == [("2026-01", "f0"), ("2026-02", "f1"), ("2026-03", "f2")]
+
+
+def test_failed_load_reports_what_it_published(spark, tmp_path):
+    root = str(tmp_path / "root")
+    twice = {"K3241.K03200Y0.D51213.EMPRECSV": "11111111;B;;;;;\n11111111;A;;;;;\n"}
+    with pytest.raises(monthly.LoadFailed):
+        monthly.run_load(spark, root, write_raw(tmp_path / "raw", twice), options())
+    done = {r["table"]: r["inserted"] for r in spark.read.json(f"{root}/metrics/load_partial/run_key=2026-03").collect()}
+    assert "empresas" not in done and done["estabelecimentos"] > 0
+
+
+def _zip_drop(folder, name):
+    folder.mkdir(exist_ok=True)
+    for archive, member, text in (
+        ("Empresas0.zip", "K.EMPRECSV", f"11111111;{name};2062;49;1,00;03;\n"),
+        ("Estabelecimentos0.zip", "K.ESTABELE", "11111111;0001;91;1;X" + ";" * 25 + "\n"),
+    ):
+        with zipfile.ZipFile(folder / archive, "w") as z:
+            z.writestr(member, text)
+
+
+def _listed(spark, tag):
+    files = [("2026-05.txt", "-"), ("Empresas0.zip", tag), ("Estabelecimentos0.zip", "1")]
+    return spark.createDataFrame(
+        [(n, n, False, 1, "", t) for n, t in files], "name string, path string, is_dir boolean, size long, modified string, etag string"
+    )
+
+
+def test_drop_from_listing_to_load(spark, tmp_path):
+    """Only a look, a load, nothing new, a republished drop that is forced, a missing archive."""
+    root, raw, zips = str(tmp_path / "root"), str(tmp_path / "raw"), tmp_path / "zips"
+    _zip_drop(zips, "ONE")
+
+    def drop(tag, **more):
+        got = monthly.run_drop(spark, root, raw, str(zips), _listed(spark, tag), **more)
+        return got["run_key"], got["files"], got["decision"], got["job_id"]
+
+    def names():
+        return rows(monthly.serving_rows(TableFolder(spark, root)), "razao_social")
+
+    assert drop("1", check_only=True) == ("2026-05", 2, "load", None) and not (tmp_path / "root").exists()
+    assert drop("1") == ("2026-05", 2, "load", "load-2026-05") and names() == {("ONE",)}
+    assert drop("1")[2:] == ("done", None) and drop("2")[2:] == ("done", None)
+    _zip_drop(zips, "TWO")
+    assert drop("2", force=True)[2:] == ("load", "load-2026-05") and names() == {("TWO",)}
+    (zips / "Empresas0.zip").unlink()
+    with pytest.raises(monthly.LoadFailed, match="missing archives: 1, the first Empresas0.zip"):
+        drop("3", run_key="2026-06")
+    assert drop("3", run_key="2026-06", check_only=True)[2] == "resume"
+    _zip_drop(zips, "THREE")
+    assert drop("3", run_key="2026-06")[2:] == ("resume", "load-2026-06") and names() == {("THREE",)}
+    with pytest.raises(monthly.LoadFailed, match="no wanted archive"):
+        monthly.run_drop(spark, root, raw, str(zips), _listed(spark, "1").filter("etag = '-'"))

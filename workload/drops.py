@@ -62,6 +62,59 @@ def manifest_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.manifest_diff(*roles.listings(table(spark, sf_dir, "documents")))
 
 
+_MONTH = "'20' || lpad(CAST(doc_id % 97 AS VARCHAR), 2, '0') || '-01'"
+_NAME = "'f' || CAST(doc_id AS VARCHAR) || '.zip'"
+
+
+def _month_files(docs: DataFrame, etag: str) -> DataFrame:
+    return docs.select(
+        F.format_string("20%02d-01", F.col("doc_id") % 97).alias("run_key"),
+        F.format_string("f%d.zip", "doc_id").alias("name"), F.expr(etag).alias("etag"),
+    )
+
+
+_RUN_STATUS = "CASE doc_id % 97 % 4 WHEN 0 THEN 'SUCCESS' WHEN 1 THEN 'FAILED' WHEN 2 THEN 'DEAD' END"
+_NEW_TAG = "md5(concat(text, CASE WHEN doc_id % 97 % 7 = 0 THEN 'x' ELSE '' END))"
+
+
+@query(
+    "load_decisions",
+    f"WITH old AS (SELECT {_MONTH} AS run_key, {_NAME} AS name, md5(text) AS etag FROM documents WHERE doc_id % 97 % 5 <> 0), "
+    f"new AS (SELECT {_MONTH} AS run_key, {_NAME} AS name, {_NEW_TAG} AS etag FROM documents WHERE doc_id % 97 % 11 <> 1 "
+    f"OR doc_id % 2 = 0), runs AS (SELECT DISTINCT {_MONTH} AS run_key, {_RUN_STATUS} AS status FROM documents WHERE "
+    "doc_id % 97 % 4 <> 3), counted AS (SELECT run_key, count(new.name) AS files, count(*) FILTER (old.name IS NULL OR "
+    "new.name IS NULL OR old.etag <> new.etag) AS changes FROM old FULL JOIN new USING (run_key, name) GROUP BY 1) "
+    "SELECT run_key, files, changes, CASE WHEN status = 'SUCCESS' THEN 'done' WHEN changes > 0 THEN 'load' "
+    "WHEN status = 'FAILED' THEN 'resume' ELSE 'unchanged' END AS decision FROM counted LEFT JOIN runs USING (run_key) "
+    "WHERE files > 0",
+)
+def load_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a listing asks to be done, for every month in it."""
+    docs = table(spark, sf_dir, "documents")
+    old = _month_files(docs.filter("doc_id % 97 % 5 <> 0"), "md5(text)")
+    new = _month_files(docs.filter("doc_id % 97 % 11 <> 1 or doc_id % 2 = 0"), _NEW_TAG)
+    runs = docs.filter("doc_id % 97 % 4 <> 3").select(
+        F.format_string("20%02d-01", F.col("doc_id") % 97).alias("run_key"), F.expr(_RUN_STATUS).alias("status")
+    )
+    return D.load_decisions(old, new, runs.distinct())
+
+
+@query(
+    "manifest_check",
+    f"SELECT name, CASE WHEN f IS NULL THEN 'missing' WHEN e IS NULL THEN 'extra' ELSE 'size differs' END AS problem, "
+    f"coalesce(listed_size, -1) AS listed_size, coalesce(found_size, -1) AS found_size FROM (SELECT {_NAME} AS name, n_chars AS listed_size, 1 AS e FROM documents WHERE doc_id % 7 <> 0) "
+    f"FULL JOIN (SELECT {_NAME} AS name, n_chars + CASE WHEN lang = 'de' THEN 1 ELSE 0 END AS found_size, 1 AS f "
+    "FROM documents WHERE doc_id % 5 <> 0) USING (name) WHERE e IS NULL OR f IS NULL OR listed_size <> found_size",
+)
+def manifest_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files found against files listed."""
+    name = F.format_string("f%d.zip", "doc_id").alias("name")
+    docs = table(spark, sf_dir, "documents")
+    listed = docs.filter("doc_id % 7 <> 0").select(name, F.col("n_chars").alias("size"))
+    found = docs.filter("doc_id % 5 <> 0").select(name, F.expr("n_chars + CASE WHEN lang = 'de' THEN 1 ELSE 0 END").alias("size"))
+    return D.manifest_check(listed, found).fillna(-1, ["listed_size", "found_size"])
+
+
 @query(
     "manifest_roundtrip",
     sql("files", "SELECT '2026-03' AS run_key, name, path, is_dir, size, modified, etag FROM files"),

@@ -122,6 +122,12 @@ def final_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("run_outcomes", sql(RUNS, "SELECT count(*) FILTER (status = 'SUCCESS') AS ok, count(*) FILTER (status <> 'SUCCESS') "
+                                 "AS failed FROM runs"))
+def run_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.outcome_counts(_runs(spark, sf_dir), F.col("status") == "SUCCESS")
+
+
 _LAST = "SELECT arg_max(run_key, finished_at) FILTER (status = 'SUCCESS') AS last_success_run_key"
 
 

@@ -43,16 +43,28 @@ def monthly_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "monthly_load_events",
-    "SELECT unnest(['load', 'run', 'serve', 'transform']) AS step_name, 'SUCCESS' AS status, 2 AS writes, 1 AS runs",
+    sql(
+        STAR, "SELECT 'empresas' AS name, 'inserted' AS what, count(*) AS n FROM empresas WHERE cnpj_basico <> '00000000' UNION ALL "
+        "SELECT 'estabelecimentos', 'inserted', count(*) FROM estabelecimentos WHERE cnpj_basico <> '00000000' UNION ALL "
+        "SELECT 'simples', 'inserted', count(*) FROM simples WHERE cnpj_basico <> '00000000' UNION ALL "
+        "SELECT 'serve', 'served', count(*) FROM star WHERE cnpj_basico <> '00000000' UNION ALL "
+        "SELECT unnest(['load', 'run', 'serve', 'transform']), 'SUCCESS', 1",
+    ),
 )
 def monthly_load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the load records, and that running it again skips every step."""
+    """Rows as the load reports them, and how often each step ran: running it again skips every step."""
     sources = _raw_drop(spark, sf_dir, roles.registry_tables(spark, sf_dir))
     root = work_dir(spark, "registry")
     for _ in range(2):
         monthly.run_load(spark, root, "", monthly.Options(OLD_KEY, OLD_STAMP), sources=sources)
-    rollup = step_rollup(RunEvents(spark, f"{root}/run_events").read())
-    return rollup.select("step_name", "status", F.col("writes").cast("int"), F.col("runs").cast("int"))
+    steps = step_rollup(RunEvents(spark, f"{root}/run_events").read())
+    loaded = spark.read.schema(monthly.LOAD_SCHEMA).json(f"{root}/metrics/load/run_key={OLD_KEY}")
+    tables = loaded.filter(F.col("table").isin("empresas", "estabelecimentos", "simples"))
+    served = steps.filter("step_name = 'serve'").select("step_name", F.lit("served"), F.col("artifact_path").cast("bigint"))
+    return (
+        tables.select(F.col("table").alias("name"), F.lit("inserted").alias("what"), F.col("inserted").alias("n"))
+        .union(served).union(steps.select("step_name", "status", "runs"))
+    )
 
 
 @query("stream_merge", sql(MERGED, "SELECT * FROM merged WHERE cnpj_basico <> '00000000' AND op <> 'delete'"))
@@ -80,10 +92,11 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_rollup", sql("run_events", _ROLLUP.format(source="run_events")))
 def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The step rollup kept up to date by a stream of events."""
+    """The step rollup kept up to date by a stream of events, one file a micro-batch: state is carried on."""
     root = work_dir(spark, "rollup")
-    schema = table(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    events = table(spark, sf_dir, "events")
+    events.repartition(3, "event_id").write.parquet(f"{root}/events")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/events")
     rollup = live_rollup(roles.run_events(stream), ORDER)
     keep_latest(rollup, f"{root}/batches", f"{root}/checkpoint").awaitTermination()
     return times(latest_rows(spark.read.parquet(f"{root}/batches")).drop("first_write"))
