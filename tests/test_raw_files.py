@@ -5,7 +5,7 @@ from rollbook.sources import raw_files as R
 from rollbook.sources.registry import EMPRESAS, LAYOUTS
 
 DIRTY = (
-    "11111111;EMPRESA TESTE LTDA;2062;49;100000,00;03;\n"
+    "11111111;AURORA PAES LTDA;2062;49;100000,00;03;\n"
     ";;;;;;\n"
     "\n"
     ";NAME WITHOUT KEY;2062;49;1,00;03;\n"
@@ -33,7 +33,7 @@ def sources(spark, drop):
 
 
 EXPECTED = {
-    "11111111": ("EMPRESA TESTE LTDA", "2062", "49", "100000,00", "03", None),
+    "11111111": ("AURORA PAES LTDA", "2062", "49", "100000,00", "03", None),
     "44444444": ("PADDED", "2062", "49", "1,00", "03", None),
     "55555555": (None, None, "49", None, None, "na"),
     "66666666": ('SAY "HI"; LTDA', "2062", "49", "1,00", "03", None),
