@@ -300,3 +300,38 @@ def test_passages_are_found_with_edits(spark, docs, none):
     for _ in range(60):
         one, two = (RANDOM.integers(0, 4, RANDOM.integers(0, 90)).tolist() for _ in range(2))
         assert passages.edit_distance(one, two) == slow(one, two)
+
+
+def passages_of(spark, *rows):
+    """The passages of (id, words) as tuples."""
+    docs = spark.createDataFrame([(k, " ".join(w), None, None, None) for k, w in rows], SCHEMA)
+    return sorted(map(tuple, passages.repeated_passages(docs).collect()), key=str)
+
+
+def fresh(prefix, n):
+    """Words that stand nowhere else."""
+    return [f"{prefix}x{k}" for k in range(n)]
+
+
+def test_passages_of_a_failed_chain_are_judged_by_themselves(spark):
+    one, two = fresh("p", 60), fresh("q", 60)
+    for gap in (40, 60, 80):
+        first = [*fresh("a", 30), *one, *fresh("b", gap), *two, *fresh("c", 30)]
+        second = [*fresh("d", 10), *one, *fresh("e", gap), *two, *fresh("f", 20)]
+        assert passages_of(spark, (1, first), (2, second)) == [
+            (2, 1, 10, 70, 30, 90, 1.0), (2, 1, 70 + gap, 130 + gap, 90 + gap, 150 + gap, 1.0)
+        ]
+    text = fresh("t", 240)
+    assert passages_of(spark, (1, text), (2, [*text[:90], *fresh("u", 60), *text[150:]])) == [(2, 1, 0, 90, 0, 90, 1.0), (2, 1, 150, 240, 150, 240, 1.0)]
+
+
+def test_runs_are_all_maximal_runs():
+    for _ in range(40):
+        mine, other = (RANDOM.integers(0, 3, RANDOM.integers(0, 40)).astype(np.uint32) for _ in range(2))
+        want = []
+        for a in range(len(mine)):
+            for b in range(len(other)):
+                n = passages.equal_words(mine[a:], other[b:])
+                if n >= passages.ANCHOR and not (a and b and mine[a - 1] == other[b - 1]):
+                    want.append((a, b, n))
+        assert passages.Pivot(other).runs(mine) == want
