@@ -335,3 +335,14 @@ def test_runs_are_all_maximal_runs():
                 if n >= passages.ANCHOR and not (a and b and mine[a - 1] == other[b - 1]):
                     want.append((a, b, n))
         assert passages.Pivot(other).runs(mine) == want
+
+
+def test_passages_repeated_within_a_text_are_found_at_each_place(spark):
+    text = fresh("t", 60)
+    first = [*fresh("a", 20), *text, *fresh("b", 20)]
+    twice = [*fresh("c", 20), *text, *fresh("d", 30), *text, *fresh("e", 20)]
+    assert passages_of(spark, (1, first), (2, twice)) == [(2, 1, 110, 170, 20, 80, 1.0), (2, 1, 20, 80, 20, 80, 1.0)]
+    half = [*fresh("c", 20), *text[:30], *fresh("d", 30), *text, *fresh("e", 20)]
+    assert passages_of(spark, (1, first), (2, half)) == [(2, 1, 80, 140, 20, 80, 1.0)]
+    # the seeds of the first 30 words would all go to the other quotation
+    assert passages_of(spark, (1, [*fresh("f", 20), *text[:30], *fresh("g", 30), *text]), (2, half)) == [(2, 1, 80, 140, 80, 140, 1.0)]
