@@ -332,7 +332,7 @@ def test_runs_are_all_maximal_runs():
         for a in range(len(mine)):
             for b in range(len(other)):
                 n = passages.equal_words(mine[a:], other[b:])
-                if n >= passages.ANCHOR and not (a and b and mine[a - 1] == other[b - 1]):
+                if n >= passages.SEED and not (a and b and mine[a - 1] == other[b - 1]):
                     want.append((a, b, n))
         assert passages.Pivot(other).runs(mine) == want
 
@@ -346,3 +346,20 @@ def test_passages_repeated_within_a_text_are_found_at_each_place(spark):
     assert passages_of(spark, (1, first), (2, half)) == [(2, 1, 80, 140, 20, 80, 1.0)]
     # the seeds of the first 30 words would all go to the other quotation
     assert passages_of(spark, (1, [*fresh("f", 20), *text[:30], *fresh("g", 30), *text]), (2, half)) == [(2, 1, 80, 140, 80, 140, 1.0)]
+
+
+def test_passages_are_found_through_edits(spark):
+    rows, cases = [], {}
+    for k in (5, 6, 7, 8, 10, 20):  # one word of k replaced, or left out
+        for off in range(0, k, 3):
+            for out in (False, True):
+                n = 2 * len(cases)
+                text = fresh(f"t{n}", 60)
+                changed = [f"n{w}" if j % k == off else w for j, w in enumerate(text) if not (out and j % k == off and k > 5)]
+                rows += [(n, [*fresh(f"a{n}", 30), *text, *fresh(f"b{n}", 30)]), (n + 1, [*fresh(f"c{n}", 40), *changed, *fresh(f"d{n}", 20)])]
+                cases[n] = (k, len(changed))
+    found = passages_of(spark, *rows)
+    assert sorted(x[:2] for x in found) == [(n + 1, n) for n in cases]
+    for doc, _, start, end, *_ in found:
+        k, size = cases[doc - 1]
+        assert 40 <= start < 40 + 2 * k and 40 + size - 2 * k < end <= 40 + size and end - start >= 40
