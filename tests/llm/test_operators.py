@@ -363,3 +363,26 @@ def test_passages_are_found_through_edits(spark):
     for doc, _, start, end, *_ in found:
         k, size = cases[doc - 1]
         assert 40 <= start < 40 + 2 * k and 40 + size - 2 * k < end <= 40 + size and end - start >= 40
+
+
+def test_passages_are_found_though_their_parts_stand_elsewhere(spark):
+    for size in (20, 8):
+        parts = [fresh(f"t{k}", size) for k in range(-(-48 // size))]
+        whole = sum(parts, [])
+        rows = [(k + 1, [*fresh(f"a{k}", 30), *part, *fresh(f"b{k}", 30)]) for k, part in enumerate(parts)]
+        rows += [(21, [*fresh("c", 30), *whole, *fresh("d", 30)]), (22, [*fresh("e", 20), *whole, *fresh("f", 30)])]
+        assert passages_of(spark, *rows) == [(22, 21, 20, 20 + len(whole), 30, 30 + len(whole), 1.0)]
+
+
+def test_equal_words_are_found_as_by_brute_force(spark):
+    size = passages.MIN_WORDS
+    blocks = [fresh(f"k{k}", int(n)) for k, n in enumerate(RANDOM.integers(10, 60, 12))]
+    rows = [(k, sum((blocks[j] for j in RANDOM.integers(0, len(blocks), 6)), [])) for k in range(30)]
+    covered = {}
+    for doc, _, start, end, *_ in passages_of(spark, *rows):
+        covered.setdefault(doc, set()).update(range(start, end))
+    first = {}
+    for doc, words_ in rows:
+        for k in range(len(words_) - size + 1):
+            if first.setdefault(tuple(words_[k : k + size]), doc) < doc:
+                assert set(range(k, k + size)) <= covered.get(doc, set())
