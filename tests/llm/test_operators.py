@@ -386,3 +386,10 @@ def test_equal_words_are_found_as_by_brute_force(spark):
         for k in range(len(words_) - size + 1):
             if first.setdefault(tuple(words_[k : k + size]), doc) < doc:
                 assert set(range(k, k + size)) <= covered.get(doc, set())
+
+
+def test_rows_that_share_an_id_or_have_none_are_compared(spark):
+    text, other = fresh("t", 60), fresh("o", 50)
+    found = passages_of(spark, (None, text), (None, [*fresh("a", 30), *text]), (None, other), (None, other), (7, fresh("b", 90)), (7, other))
+    assert [x[:2] for x in found] == [(None, 7), (None, 7), (None, None)]
+    assert [x[3] - x[2] for x in found] == [50, 50, 60] and all(x[6] == 1.0 for x in found)
