@@ -393,3 +393,8 @@ def test_rows_that_share_an_id_or_have_none_are_compared(spark):
     found = passages_of(spark, (None, text), (None, [*fresh("a", 30), *text]), (None, other), (None, other), (7, fresh("b", 90)), (7, other))
     assert [x[:2] for x in found] == [(None, 7), (None, 7), (None, None)]
     assert [x[3] - x[2] for x in found] == [50, 50, 60] and all(x[6] == 1.0 for x in found)
+
+
+def test_passages_of_periodic_texts_are_not_given_for_every_shift(spark):
+    found = passages_of(spark, (1, [*fresh("a", 30), *["the"] * 150, *fresh("b", 30)]), (2, [*fresh("c", 20), *["the"] * 400, *fresh("d", 20)]))
+    assert set().union(*(range(x[2], x[3]) for x in found)) == set(range(20, 420)) and len(found) < 8
