@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import language, minhash, mixing, passages, quality, secrets, suffixes, tiling, tokens, urls
+from rollbook.llm import align, language, minhash, mixing, passages, quality, secrets, suffixes, tiling, tokens, urls
 from rollbook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,8 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(table(spark, sf_dir, "documents").select("doc_id", "text"), "byte_bpe_50k.json", "piece_bpe_32k.model")[0]
