@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import align, language, minhash, mixing, passages, quality, secrets, suffixes, tiling, tokens, urls
+from rollbook.llm import align, language, minhash, mixing, passages, quality, secrets, suffixes, tiling, tokens, trie, urls
 from rollbook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,45 @@ def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(table(spark, sf_dir, "documents").select("doc_id", "text"), "byte_bpe_50k.json", "piece_bpe_32k.model")[0]
+
+
+#: Every conversation begins with the first turns of the one whose id is the next lower multiple of 100.
+GRAFT = trie.Graft("conv_id - conv_id % 100", "crc32(string(conv_id)) % 6", 5)
+
+
+@query
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(table(spark, sf_dir, "conversations"), GRAFT)
+
+
+_CRC = """xor(list_reduce(list_concat([4294967295::UBIGINT], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS UBIGINT))),
+  lambda c, x: list_reduce(list_concat([xor(c, x)], list_transform(range(8), lambda k: 0::UBIGINT)), lambda d, z: CASE WHEN d % 2 = 1 THEN xor(d >> 1, 3988292384::UBIGINT) ELSE d >> 1 END)),
+  4294967295::UBIGINT)"""
+ORACLE["op12_conversation_trie"] = f"""
+WITH turns AS (
+  SELECT conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS d, length(coalesce(text, '')) AS n,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, d) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), conv AS (
+  SELECT DISTINCT conv_id, conv_id - conv_id % 100 AS base, CAST({_CRC} % 6 AS BIGINT) AS h FROM conversations WHERE conv_id IS NOT NULL
+), rebuilt AS (
+  SELECT c.conv_id, 0 AS part, t.pos, t.d, t.n FROM conv c JOIN turns t ON t.conv_id = c.base AND t.pos <= c.h
+  UNION ALL SELECT c.conv_id, 1, t.pos, t.d, t.n FROM conv c JOIN turns t ON t.conv_id = c.conv_id AND t.pos > c.h
+), paths AS (
+  SELECT conv_id, row_number() OVER w AS depth, n, string_agg(d, '') OVER w AS path FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM conv
+), sizes AS (
+  SELECT conv_id, max(depth) AS size FROM paths GROUP BY conv_id
+), nodes AS (
+  SELECT path, min(p.conv_id) AS conv_id, any_value(depth) AS depth, any_value(n) AS n, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) FILTER (depth = size), '')) AS ends_sha256
+  FROM paths p JOIN sizes s ON p.conv_id = s.conv_id GROUP BY path
+), counted AS (
+  SELECT v.*, (SELECT count(*) FROM nodes w WHERE w.depth = v.depth + 1 AND v.path = substr(w.path, 1, 32 * v.depth::INT)) AS n_children FROM nodes v
+), below AS (
+  SELECT substr(path, 1, 32 * k::INT) AS path, sum((n_convs - 1) * n) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(depth + 1)) AS k FROM counted) GROUP BY ALL
+)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, b.n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM counted v JOIN below b ON v.path = b.path LEFT JOIN nodes p ON v.depth > 0 AND p.path = substr(v.path, 1, 32 * (v.depth - 1)::INT)
+"""
