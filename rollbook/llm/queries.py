@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import align, language, minhash, mixing, passages, quality, secrets, suffixes, tiling, tokens, trie, urls
+from rollbook.llm import align, language, minhash, mixing, passages, pii, quality, secrets, suffixes, tiling, tokens, trie, urls
 from rollbook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +170,8 @@ WITH turns AS (
 SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, b.n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens, v.ends_sha256
 FROM counted v JOIN below b ON v.path = b.path LEFT JOIN nodes p ON v.depth > 0 AND p.path = substr(v.path, 1, 32 * (v.depth - 1)::INT)
 """
+
+
+@query
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.found(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
