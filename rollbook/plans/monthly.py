@@ -100,16 +100,7 @@ def transform(
         if not paths:
             log.warning("%s: no file in the drop, the current table stays", layout.name)
             return (layout.name, 0, 0, 0, 0, "no file")
-        multi_line, blank = options.multi_line, 0
-        if multi_line is None:
-            # One short row per file. Blank lines never become rows; where no field spans lines they are
-            # counted here.
-            profile = raw_files.raw_profile(spark, paths).collect()
-            multi_line = {
-                quoted: [r["path"] for r in profile if bool(r["odd_quote_lines"]) == quoted] for quoted in (True, False)
-            }
-            blank = sum(r["blank_lines"] for r in profile if not r["odd_quote_lines"])
-        raw_rows = raw_files.scan_raw(spark, paths, layout, multi_line)
+        raw_rows, blank = raw_files.scan_counted(spark, paths, layout, options.multi_line)
         cleaned = cleaning.clean_cells(raw_rows, layout.columns, options.null_exempt_columns)
         classified = cleaning.classify_rows(cleaned, layout.columns, layout.required)
         written = folder.write(f"curated/{layout.name}", options.run_key, classified, ["row_state"])

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from rollbook.functions.text import file_name, percent_decode
+from rollbook.functions.text import file_name, is_present, percent_decode, strip_whitespace
+from rollbook.sources import records
 from rollbook.sources.registry import LAYOUTS, Layout
 
 # Encoding, separator and quoting of the published files.
@@ -71,9 +72,9 @@ def scan_raw(
 ) -> DataFrame:
     """Several headerless part files, or folders of them, as one table of text columns.
 
-    Short rows are padded with nulls and long rows cut. A quoted line break needs the multi-line reader,
-    which takes one task per file. ``multi_line`` says where to use it: everywhere, nowhere, or by file
-    (``files_by_reader``); None looks for those files first, so that all others are read in splits.
+    Short rows are padded with nulls and long rows cut. Quoted line breaks need the reader of records, which
+    reads a file in ranges too, but sorts the lines of each. ``multi_line`` says where to use it: everywhere, nowhere, or by file
+    (``files_by_reader``); None looks for those files first.
     """
     if multi_line is None:
         multi_line = files_by_reader(raw_profile(spark, paths))
@@ -85,14 +86,60 @@ def scan_raw(
     for whole, members in multi_line.items():
         if not members:
             continue
-        reader = spark.read.schema(layout.schema).options(**RAW_OPTIONS).option("multiLine", whole)
-        frame = reader.csv(members)
-        if with_source:
-            frame = frame.select("*", F.col("_metadata.file_path").alias("source_path"))
+        if whole:
+            frame = numbered_rows(spark, members, layout).select(*layout.columns, *(["source_path"] if with_source else []))
+        else:
+            frame = spark.read.schema(layout.schema).options(**RAW_OPTIONS).csv(members)
+            if with_source:
+                frame = frame.select("*", percent_decode(F.col("_metadata.file_path")).alias("source_path"))
         frames.append(frame)
     return reduce(DataFrame.unionByName, frames)
 
 
+def numbered_rows(spark: SparkSession, paths: Sequence[str], layout: Layout, spans: bool = True, ranges: DataFrame | None = None) -> DataFrame:
+    """The rows of headerless files with ``source_path``, the ``record`` and the ``line`` they begin at in it, both from 1.
+
+    ``spans`` False is for files in which no field spans lines (``files_by_reader``): their lines need not be sorted.
+    ``ranges`` are those of the same files, where they are known.
+    """
+    lines = records.raw_lines(spark, paths)
+    if ranges is None:
+        ranges = records.settled_ranges(lines, spans=spans)
+    rows = records.parsed(records.records(lines, ranges, spans=spans), layout.schema)
+    return rows.withColumnRenamed("path", "source_path").select("source_path", "record", "line", *layout.columns)
+
+
+def scan_counted(spark: SparkSession, paths: Sequence[str], layout: Layout, multi_line: bool | dict[bool, list[str]] | None = None) -> tuple[DataFrame, int]:
+    """:func:`scan_raw`, and the number of the files' blank lines: never rows, whatever the reader."""
+    if isinstance(multi_line, bool):
+        multi_line = {multi_line: sorted(paths)}
+    profile = raw_profile(spark, paths)
+    # One short row per file.
+    found = profile.select("path", "blank_lines", (F.col("odd_quote_lines") > 0).alias("quoted")).orderBy("path").collect()
+    if multi_line is None:
+        multi_line = {quoted: [r["path"] for r in found if r["quoted"] == quoted] for quoted in (True, False)}
+    spanning = multi_line.get(True) or []
+    if not spanning:
+        return scan_raw(spark, paths, layout, {False: sorted(paths)}), sum(r["blank_lines"] for r in found)
+    ranges = records.settled_ranges(records.raw_lines(spark, spanning))
+    counted = ranges.groupBy("path").agg(F.sum("blank_lines")).collect()
+    blank = sum(r[1] for r in counted) + sum(r["blank_lines"] for r in found if r["path"] not in {c["path"] for c in counted})
+    rows = numbered_rows(spark, spanning, layout, ranges=ranges).select(*layout.columns)
+    if multi_line.get(False):
+        rows = rows.unionByName(scan_raw(spark, multi_line[False], layout, False))
+    return rows, blank
+
+
+def blank_key_lines(spark: SparkSession, paths: Sequence[str], layout: Layout, column: str) -> DataFrame:
+    """Rows whose key column is blank, with file, ``record`` and ``line`` as a report names them. An empty row counts, a blank line does not."""
+    return numbered_rows(spark, paths, layout).filter(~is_present(strip_whitespace(F.col(column))))
+
+
+def first_blank_key_lines(spark: SparkSession, paths: Sequence[str], layout: Layout, column: str, samples: int = 5) -> DataFrame:
+    """The first few of them by file and record."""
+    return blank_key_lines(spark, paths, layout, column).orderBy("source_path", "record").limit(samples)
+
+
 def write_raw(df: DataFrame, path: str) -> None:
     """Write text columns in the published raw form (used to build drops from other tables)."""
     df.write.mode("overwrite").options(
@@ -101,12 +148,29 @@ def write_raw(df: DataFrame, path: str) -> None:
     ).csv(path)
 
 
-def scan_headered(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True) -> DataFrame:
-    """UTF-8 comma-separated files with a header row; columns are named by the header, all text."""
-    return (
-        spark.read.options(header=True, encoding="UTF-8", sep=",", quote='"', escape='"', multiLine=multi_line)
-        .csv(paths)
-    )
+def scan_headered(spark: SparkSession, paths: str | Sequence[str], multi_line: bool | None = None) -> DataFrame:
+    """UTF-8 comma-separated files with a header row; columns are named by the header, all text.
+
+    Files in which quoted fields span lines are read by records, in ranges like all others; ``multi_line`` says whether there are any,
+    None looks. The files' headers are the same.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    plain = spark.read.options(header=True, encoding="UTF-8", sep=",", quote='"', escape='"')
+    if multi_line is None:
+        multi_line = not raw_profile(spark, paths).filter("odd_quote_lines > 0").isEmpty()
+    if not multi_line:
+        return plain.csv(paths)
+    lines = records.raw_lines(spark, paths, records.HEADERED)
+    found = records.records(lines, records.settled_ranges(lines, records.HEADERED), records.HEADERED)
+    # The first record that is not blank, one short text for each file.
+    first = found.filter(F.col("record") == 1).agg(F.min("text")).first()[0]
+    if first is None:
+        return plain.csv(paths)
+    wide = T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(first.count(",") + 1)])
+    row = records.parsed(spark.range(1).select(F.lit(first).alias("text")), wide, records.HEADERED).first()
+    names = [c for c in row if c is not None]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return records.parsed(found.filter(F.col("record") > 1), schema, records.HEADERED).select(*[f"`{n}`" for n in names])
 
 
 def write_headered(df: DataFrame, path: str) -> None:

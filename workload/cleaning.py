@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rollbook.functions import typed
 from rollbook.operators import cleaning as C
@@ -154,6 +154,61 @@ def raw_multiline_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "lang", "source", F.md5("text").alias("digest"), F.length("text").alias("n"), "missing")
 
 
+NOTES = Layout("notes", ("key", "text", "extra"), ("notes",), LOOKUP, ("key",))
+_PER_FILE = 30_000
+_NOTE = """'say "' || l_returnflag || '"; line ' || l_orderkey || chr(10) || repeat('cargo; ', 30) || l_linenumber"""
+# Every row is a record of two lines; after each seventh order's first line comes a blank one.
+_NOTE_ROWS = f"""
+note_rows AS (
+  SELECT l_orderkey // {_PER_FILE} AS file, CASE WHEN l_partkey % 50 = 0 THEN ' ' ELSE l_orderkey || '-' || l_linenumber END AS key, {_NOTE} AS text,
+         (l_orderkey % 7 = 0 AND l_linenumber = 1)::INT AS blank, l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem
+), noted AS (
+  SELECT *, row_number() OVER w + sum(blank) OVER w - blank AS record, 2 * row_number() OVER w - 1 + sum(blank) OVER w - blank AS line
+  FROM note_rows WINDOW w AS (PARTITION BY file ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice)
+)"""
+
+
+def _notes(spark: SparkSession, sf_dir: str) -> str:
+    """Raw files of so many orders each, their records in order."""
+    line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_returnflag")
+    text = F.concat(
+        F.lit('say "'), "l_returnflag", F.lit('"; line '), F.col("l_orderkey").cast("string"), F.lit("\n"), F.lit("cargo; " * 30), F.col("l_linenumber").cast("string")
+    )
+    key = F.when(F.col("l_partkey") % 50 == 0, " ").otherwise(F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    record = F.concat(key, F.lit(';"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('";x'))
+    blank = F.when((F.col("l_orderkey") % 7 == 0) & (F.col("l_linenumber") == 1), F.lit("\n")).otherwise("")
+    rows = line.select(F.floor(F.col("l_orderkey") / _PER_FILE).alias("file"), "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", F.concat(record, blank).alias("value"))
+    path = work_dir(spark, "raw-notes")
+    rows.repartition("file").sortWithinPartitions("file", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice").select("value", "file").write.partitionBy("file").text(path)
+    return path
+
+
+def _file_number(path: Column) -> Column:
+    return F.regexp_extract(path, "file=([0-9]+)/", 1).cast("bigint")
+
+
+@query("raw_records", f"WITH {_NOTE_ROWS} SELECT file, CAST(record AS BIGINT) AS record, CAST(line AS BIGINT) AS line, key, md5(text) AS digest, 'x' AS extra FROM noted")
+def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of files larger than a split whose fields span lines, with their numbers in the file."""
+    rows = raw_files.numbered_rows(spark, [_notes(spark, sf_dir)], NOTES)
+    return rows.select(_file_number(F.col("source_path")).alias("file"), "record", "line", "key", F.md5("text").alias("digest"), "extra")
+
+
+@query("raw_blank_lines", f"WITH {_NOTE_ROWS} SELECT CAST(count(*) AS BIGINT) AS rows, CAST(sum(blank) AS BIGINT) AS blank_lines FROM noted")
+def raw_blank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blank lines of such files are counted, and are not rows."""
+    rows, blank = raw_files.scan_counted(spark, [_notes(spark, sf_dir)], NOTES)
+    return rows.agg(F.count("*").alias("rows"), F.lit(blank).cast("bigint").alias("blank_lines"))
+
+
+@query("bad_key_lines", f"WITH {_NOTE_ROWS} SELECT file, CAST(record AS BIGINT) AS record, CAST(line AS BIGINT) AS line, md5(text) AS digest FROM noted WHERE key = ' ' ORDER BY file, record LIMIT 5")
+def bad_key_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's five rows without a key, with file, record and line."""
+    rows = raw_files.blank_key_lines(spark, [_notes(spark, sf_dir)], NOTES, "key")
+    rows = rows.select(_file_number(F.col("source_path")).alias("file"), "record", "line", F.md5("text").alias("digest"))
+    return rows.orderBy("file", "record").limit(5)
+
+
 _TUBE = """p_name || ' 5" tube'"""
 
 
