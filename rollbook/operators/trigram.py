@@ -69,3 +69,40 @@ def search_indexed(
         .select(key)
     )
     return df.filter(condition).join(candidates, key, "left_semi")
+
+
+def piece_counts(index: DataFrame) -> DataFrame:
+    """(field, trigram, rows): how many rows have a piece. It is kept with the index, so that a search knows its rarest piece."""
+    return index.groupBy("field", "trigram").agg(F.count("*").alias("rows"))
+
+
+#: Posting lists are met from the rarest on, up to lists so many times as long; the text itself is checked at the end.
+WORTH_MEETING = 20
+
+
+def meet(index: DataFrame, counts: DataFrame, key: str, columns: Sequence[str], text: str, most: int | None = None) -> DataFrame | None:
+    """Keys of rows that may contain ``text`` in one of ``columns``: their posting lists met by semi joins, rarest first.
+
+    ``index`` and ``counts`` are those of the same rows. A row that contains the text is always among them. None where the
+    index does not help: the text has no piece (:func:`usable`), or its rarest one is in more than ``most`` rows.
+    """
+    if not usable(text):
+        return None
+    lower = text.lower()
+    pieces = sorted({lower[i:i + 3] for i in range(len(lower) - 2)})
+    # At most one short row for each piece of the text and field.
+    known = {(r["field"], r["trigram"]): r["rows"] for r in counts.filter(F.col("field").isin(*columns) & F.col("trigram").isin(*pieces)).collect()}
+    found = None
+    for c in columns:
+        if any((c, p) not in known for p in pieces):
+            continue  # no row has them all
+        ordered = sorted(pieces, key=lambda p: (known[c, p], p))
+        rarest = known[c, ordered[0]]
+        if most is not None and rarest > most:
+            return None
+        lists = [index.filter((F.col("field") == c) & (F.col("trigram") == p)).select(key) for p in ordered if known[c, p] <= WORTH_MEETING * rarest]
+        met = lists[0]
+        for other in lists[1:]:
+            met = met.join(other, key, "left_semi")
+        found = met if found is None else found.unionByName(met)
+    return index.select(key).limit(0) if found is None else found.distinct()

@@ -22,7 +22,8 @@ from rollbook.functions.keys import key_present
 from rollbook.functions.status import DEAD, FAILED, MAX_ATTEMPTS, PENDING, RUNNING, SUCCESS
 from rollbook.functions.text import file_name
 from rollbook.operators import checks, cleaning, drops, ledger, merge
-from rollbook.plans.serving import SERVING_COLUMNS, build_serving, laid_out
+from rollbook.plans.served import SERVING, SERVING_SCHEMA, write_served
+from rollbook.plans.serving import SERVING_COLUMNS, build_serving
 from rollbook.session import build_session, work_dir
 from rollbook.sources import archives, listings, raw_files
 from rollbook.sources.registry import (
@@ -196,28 +197,23 @@ def load(
     return counters
 
 
-SERVING = "serving"
-
-
 def refresh_serving(folder: TableFolder, options: Options) -> int:
-    """Rebuild the serving table; readers keep the old version until the new one is complete."""
+    """Rebuild the serving table and what searches use beside it; readers keep the old version until all is complete."""
     versions = folder.current_versions()
     tables = {name: current_rows(folder, layout, versions) for name, layout in LAYOUTS.items()}
     absent = [name for name in ("empresas", "estabelecimentos") if tables[name] is None]
     if absent:
         raise checks.CheckFailed(f"never loaded: {', '.join(absent)}")
     version = folder.new_version(options.run_key)
-    written = folder.write(SERVING, version, laid_out(build_serving(tables)), ["uf"])
+    parts = write_served(folder, version, build_serving(tables))
+    written = folder.read(SERVING, version)
     checks.require_rows(written, SERVING)
-    folder.publish({SERVING: version}, options.run_key)
+    folder.publish(parts, options.run_key)
     return written.count()
 
 
 def serving_rows(folder: TableFolder) -> DataFrame | None:
-    schema = T.StructType(
-        [T.StructField(c, T.TimestampType() if c == "updated_at" else T.StringType()) for c in SERVING_COLUMNS]
-    )
-    df = folder.current(SERVING, schema)
+    df = folder.current(SERVING, SERVING_SCHEMA)
     return None if df is None else df.select(*SERVING_COLUMNS)
 
 

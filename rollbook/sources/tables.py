@@ -61,9 +61,11 @@ class TableFolder:
     def path(self, table: str, version: str) -> str:
         return f"{self.root}/{table}/version={version}"
 
-    def write(self, table: str, version: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+    def write(
+        self, table: str, version: str, df: DataFrame, partition_by: Sequence[str] = (), options: Mapping[str, object] | None = None
+    ) -> DataFrame:
         """Write one version and return it read back, so that later steps do not compute it again."""
-        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static").options(**(options or {}))
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(table, version))
