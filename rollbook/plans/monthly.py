@@ -16,12 +16,12 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from rollbook.functions.keys import key_present
 from rollbook.functions.status import DEAD, FAILED, MAX_ATTEMPTS, PENDING, RUNNING, SUCCESS
 from rollbook.functions.text import file_name
-from rollbook.operators import checks, cleaning, drops, ledger, merge
+from rollbook.operators import buckets, checks, cleaning, drops, ledger, merge
 from rollbook.plans.served import SERVING, SERVING_SCHEMA, write_served
 from rollbook.plans.serving import SERVING_COLUMNS, build_serving
 from rollbook.session import build_session, work_dir
@@ -30,7 +30,7 @@ from rollbook.sources.registry import (
     LAYOUTS, MERGE, REPLACE, REPLACE_KEYED, Layout, stamped_schema,
 )
 from rollbook.sources.run_events import RunEvents
-from rollbook.sources.tables import TableFolder, read_if_there, small_table
+from rollbook.sources.tables import Part, TableFolder, read_if_there, small_table
 
 log = logging.getLogger("rollbook.load")
 
@@ -51,6 +51,7 @@ class Options:
     null_exempt_columns: tuple[str, ...] = ()
     check_lengths: bool = True
     force: bool = False
+    buckets: int = buckets.BUCKETS
     layouts: Mapping[str, Layout] = field(default_factory=lambda: LAYOUTS)
 
     def __post_init__(self) -> None:
@@ -123,6 +124,39 @@ def curated_rows(folder: TableFolder, layout: Layout, run_key: str) -> DataFrame
     return None if rows is None else rows.filter(F.col("row_state") == cleaning.KEPT).drop("row_state")
 
 
+def merge_buckets(
+    folder: TableFolder, layout: Layout, staging: DataFrame, options: Options, old: str | None, version: str
+) -> Row:
+    """Write ``version`` of a merged table from its ``old`` one and the dump; returns the counters.
+
+    Buckets whose rows have one digest in the old version and in the dump hold nothing to merge: the new version names the
+    folder they lie in, and nobody reads them. All others are merged, and only those are written.
+    """
+    name, key, n = layout.name, layout.key, options.buckets
+    # One short row per bucket on either side.
+    new = {r["bucket"]: r["digest"] for r in buckets.bucket_digests(staging, key, layout.data_columns, n).collect()}
+    parts = folder.parts(name, old) if old else []
+    known = {p.bucket: p for p in parts or [] if p.buckets == n}
+    same = {b for b, p in known.items() if p.digest == new.get(b, "")}
+    changed = [b for b in range(n) if b not in same]
+    schema = current_schema(layout)
+    if old is None:
+        main = folder.spark.createDataFrame([], schema)
+    elif known:
+        main = folder.read_parts(name, old, schema, [known[b] for b in changed if b in known])
+    else:  # written before there were buckets, or with another number of them
+        main = folder.current(name, schema, {name: old})
+    merged = merge.three_way_merge(
+        merge.snapshot(main), buckets.in_buckets(staging, key, changed, n), key, layout.data_columns, options.run_key, options.stamp
+    ).select(*[f.name for f in schema.fields], buckets.bucket_of(key, n).alias("bucket"))
+    # Files follow buckets; Spark splits a large bucket over tasks and puts small ones together.
+    written = folder.write(name, version, merged.hint("rebalance", F.col("bucket")), ["bucket", "op"])
+    filled = {r[0] for r in written.select("bucket").distinct().collect()}
+    made = [Part(n, b, version, new.get(b, ""), int(b in filled)) for b in changed]
+    folder.write_parts(name, version, [*made, *(known[b] for b in sorted(same))])
+    return merge.merge_counts(written).first()
+
+
 def load_table(
     folder: TableFolder, layout: Layout, staging: DataFrame, options: Options, versions: Mapping[str, str]
 ) -> tuple[str, tuple[str, int, int, int]]:
@@ -143,12 +177,7 @@ def load_table(
 
     version = folder.new_version(options.run_key)
     if merging:
-        if main is None:
-            main = folder.spark.createDataFrame([], stamped_schema(layout))
-        merged = merge.three_way_merge(
-            main, staging, layout.key, layout.data_columns, options.run_key, options.stamp
-        ).select(*[f.name for f in current_schema(layout).fields])
-        counts = merge.merge_counts(folder.write(name, version, merged, ["op"])).first()
+        counts = merge_buckets(folder, layout, staging, options, versions.get(name), version)
         return version, (name, counts["inserted"], counts["updated"], counts["deleted"])
     if layout.policy == REPLACE:
         new = merge.replace_all(staging, layout.columns, options.run_key, options.stamp, "id")

@@ -10,15 +10,27 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-ARROW_TYPES = {"string": pa.string(), "bigint": pa.int64(), "timestamp": pa.timestamp("us", tz="UTC")}
+ARROW_TYPES = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "timestamp": pa.timestamp("us", tz="UTC")}
+PART_SCHEMA = "buckets int,bucket int,version string,digest string,filled int"
 PUBLICATION_SCHEMA = "table string, version string, run_key string, published_at timestamp"
 
 
+class Part(NamedTuple):
+    """A bucket (of so many), the version in whose folder it lies, the digest of its rows, and whether it has any, deleted ones included."""
+
+    buckets: int
+    bucket: int
+    version: str
+    digest: str
+    filled: int
+
+
 def read_if_there(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame | None:
     reader = spark.read if schema is None else spark.read.schema(schema)
     try:
@@ -100,7 +112,32 @@ class TableFolder:
     ) -> DataFrame | None:
         """The published rows, or None before the first load."""
         version = (self.current_versions() if versions is None else versions).get(table)
-        return None if version is None else self.read(table, version, schema)
+        if version is None:
+            return None
+        parts = self.parts(table, version)
+        return self.read(table, version, schema) if parts is None else self.read_parts(table, version, schema, parts)
+
+    # ---- tables in buckets, of which a version may take over those of an older one ----
+
+    def write_parts(self, table: str, version: str, parts: Sequence[Part]) -> None:
+        """Note in which version's folder each bucket of this version lies."""
+        small_table(self.spark, [tuple(p) for p in parts], PART_SCHEMA).coalesce(1).write.mode("overwrite").parquet(self.path(f"{table}_parts", version))
+
+    def parts(self, table: str, version: str) -> list[Part] | None:
+        """One short entry per bucket; None for a table that is not in buckets."""
+        found = read_if_there(self.spark, self.path(f"{table}_parts", version), PART_SCHEMA.replace(",", ", "))
+        return None if found is None else [Part(*r) for r in found.collect()]
+
+    def read_parts(self, table: str, version: str, schema: T.StructType, parts: Sequence[Part]) -> DataFrame:
+        """Rows of the given buckets. What an older version's merge did is past: its rows are kept ones, its deleted rows are gone."""
+        paths = [f"{self.path(table, p.version)}/bucket={p.bucket}" for p in parts if p.filled]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        placed = T.StructType([f for f in schema.fields if f.name not in ("version", "bucket")] + [T.StructField("version", T.StringType()), T.StructField("bucket", T.IntegerType())])
+        df = self.spark.read.schema(placed).option("basePath", f"{self.root}/{table}").parquet(*paths)
+        own = F.col("version") == version
+        df = df.filter(own | (F.col("op") != "delete")).withColumn("op", F.when(own, F.col("op")).otherwise("keep"))
+        return df.select(*[f.name for f in schema.fields])
 
 
 def replace_partitions(df: DataFrame, path: str, by: str = "run_key") -> None:

@@ -90,6 +90,38 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dated(current, "created_at", "updated_at")
 
 
+_CHANGED_FEW = (
+    f"SELECT * REPLACE (CASE WHEN CAST(cnpj_basico AS BIGINT) % 40 = 3 AND situacao_cadastral = 'O' THEN 'F' ELSE situacao_cadastral END AS situacao_cadastral) "
+    "FROM estabelecimentos WHERE NOT (CAST(cnpj_basico AS BIGINT) % 40 = 3 AND situacao_cadastral = 'P')"
+)
+
+
+@query(
+    "merge_changed_buckets",
+    sql(
+        "estabelecimentos", f", staging_few AS ({_CHANGED_FEW}) SELECT e.cnpj_basico, e.cnpj_ordem, e.cnpj_dv, coalesce(s.situacao_cadastral, e.situacao_cadastral) AS situacao_cadastral, "
+        "CASE WHEN s.cnpj_basico IS NULL THEN 'delete' WHEN s.situacao_cadastral <> e.situacao_cadastral THEN 'update' ELSE 'keep' END AS op, "
+        f"CASE WHEN s.situacao_cadastral <> e.situacao_cadastral THEN '{NEW_KEY}' ELSE '{OLD_KEY}' END AS run_key "
+        "FROM estabelecimentos e LEFT JOIN staging_few s ON s.cnpj_basico = e.cnpj_basico AND s.cnpj_ordem = e.cnpj_ordem AND s.cnpj_dv = e.cnpj_dv "
+        "WHERE e.cnpj_basico <> '00000000'",
+    ),
+)
+def merge_changed_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second load that changes one company in forty: the other buckets stay where the first load wrote them."""
+    main = roles.estabelecimentos(table(spark, sf_dir, "orders"))
+    few = F.col("cnpj_basico").cast("bigint") % 40 == 3
+    state = F.col("situacao_cadastral")
+    staging = main.filter(~(few & (state == "P"))).withColumn("situacao_cadastral", F.when(few & (state == "O"), "F").otherwise(state))
+    folder, layouts = TableFolder(spark, work_dir(spark, "registry")), {ESTABELECIMENTOS.name: ESTABELECIMENTOS}
+    for run_key, stamp, df in ((OLD_KEY, OLD_STAMP, main), (NEW_KEY, NEW_STAMP, staging)):
+        options = monthly.Options(run_key, stamp, layouts=layouts)
+        sources = _raw_drop(spark, sf_dir, {ESTABELECIMENTOS.name: df})
+        monthly.transform(spark, folder, sources, options)
+        monthly.load(spark, folder, options)
+    current = folder.current(ESTABELECIMENTOS.name, monthly.current_schema(ESTABELECIMENTOS))
+    return current.select(*ESTABELECIMENTOS.key, "situacao_cadastral", "op", "run_key")
+
+
 @query("stream_rollup", sql("run_events", _ROLLUP.format(source="run_events")))
 def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The step rollup kept up to date by a stream of events, one file a micro-batch: state is carried on."""
