@@ -69,8 +69,8 @@ def load_decisions(old: DataFrame, new: DataFrame, runs: DataFrame) -> DataFrame
     """Per listed run key: its files, how many of them changed since the last listing, and what to do.
 
     ``old`` and ``new`` are listings with ``run_key``, ``name`` and ``etag``, ``runs`` has one row per run key. A
-    run key that succeeded is done. One that was never listed, or differs from its last listing, is loaded; the
-    same files again are resumed while their run may start again.
+    run key that succeeded is done. One that was never listed, differs from its last listing, or has no run (a process may die
+    after it saved the listing), is loaded; the same files again are resumed while their run may start again.
     """
     o = old.select("run_key", "name", F.col("etag").alias("old_etag"), F.lit(True).alias("in_old"))
     n = new.select("run_key", "name", F.col("etag").alias("new_etag"), F.lit(True).alias("in_new"))
@@ -83,7 +83,7 @@ def load_decisions(old: DataFrame, new: DataFrame, runs: DataFrame) -> DataFrame
         .join(runs.select("run_key", "status"), "run_key", "left")
         .select(
             "run_key", "files", "changes",
-            F.when(status == SUCCESS, DONE).when(F.col("changes") > 0, LOAD).when(status.isin(*RETRYABLE), RESUME)
+            F.when(status == SUCCESS, DONE).when((F.col("changes") > 0) | status.isNull(), LOAD).when(status.isin(*RETRYABLE), RESUME)
             .otherwise(UNCHANGED).alias("decision"),
         )
     )

@@ -248,13 +248,12 @@ def serving_rows(folder: TableFolder) -> DataFrame | None:
 
 def verify_archives(spark: SparkSession, folder: str, names: DataFrame) -> DataFrame:
     """The integrity report of the expected archives: (name, ok, sha256, error), one row each."""
-    paths = names.select(F.concat(F.lit(folder.rstrip("/") + "/"), "name").alias("path"))
+    found = raw_files.list_files(spark, folder).withColumnRenamed("length", "size")
     # Every archive is read once: the report is written before anything looks at it.
     written = work_dir(spark, "archive-check")
-    archives.check_files(paths).write.parquet(written)
-    return spark.read.parquet(written).select(
-        file_name(F.col("path")).alias("name"), F.col("error").isNull().alias("ok"), "sha256", "error"
-    )
+    report = archives.check_files(names, found, folder)
+    report.write.parquet(written)
+    return spark.read.schema(report.schema).parquet(written)
 
 
 def require_sound(report: DataFrame) -> None:
@@ -271,12 +270,14 @@ def require_found(expected: DataFrame, found: DataFrame) -> None:
         raise checks.CheckFailed(f"missing archives: {gone['n']}, the first {gone['first']}")
 
 
-def should_load(runs: DataFrame, run_key: str, old: DataFrame | None, new: DataFrame, force: bool = False) -> bool:
-    """False for a drop that was loaded already or whose file list has not changed, unless forced."""
-    if force:
-        return True
-    done = runs.filter((F.col("run_key") == run_key) & (F.col("status") == SUCCESS))
-    return done.isEmpty() and drops.files_changed(old, new)
+def require_listed_sizes(expected: DataFrame, found: DataFrame) -> None:
+    """Raises if an archive has another size than its listing says; a listing without a size says nothing."""
+    listed = expected.filter("size > 0").select("name", "size")
+    bad = drops.manifest_check(listed, found.join(listed.select("name"), "name", "left_semi")).filter("problem = 'size differs'")
+    first = bad.agg(F.count("*").alias("n"), F.min(F.struct("name", "listed_size", "found_size")).alias("first")).first()
+    if first["n"]:
+        name, listed_size, found_size = first["first"]
+        raise checks.CheckFailed(f"archives of another size than listed: {first['n']}, the first {name}: {found_size} instead of {listed_size} bytes")
 
 
 class LoadFailed(RuntimeError):
@@ -353,6 +354,8 @@ def run_load(
             found = drops.wanted_files(listing.withColumnRenamed("length", "size"))
             if expected is not None:
                 require_found(drops.wanted_files(expected), found)
+                if "size" in expected.columns:
+                    require_listed_sizes(drops.wanted_files(expected), found)
             return found if max_files is None else drops.smallest_files(found, max_files)
 
         def verify_step() -> str:

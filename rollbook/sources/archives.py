@@ -6,8 +6,6 @@ A deflate stream cannot be read in parts, so the member is the smallest unit of
 from __future__ import annotations
 
 import hashlib
-import io
-import posixpath
 import sys
 import uuid
 import zipfile
@@ -24,12 +22,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHUNK = 8 * 1024 * 1024
 
-CHECK_SCHEMA = "path string, error string, sha256 string"
+CHECK_SCHEMA = "path string, problem string, detail string, sha256 string"
 MEMBER_SCHEMA = "path string, position int, member string, size bigint"
-EXPANDED_SCHEMA = "path string, member string, size bigint, content binary"
-EXPANDED_COLUMNS = ("path", "member", "size", "content")
-# Members handed over at once: at most this many rows, or about CHUNK bytes.
-MAX_ROWS = 2000
 
 
 def _open(path: str):
@@ -40,37 +34,37 @@ def _open(path: str):
     return system, inner
 
 
-def _flat_name(member: str) -> str:
-    """Last component only; empty for a directory entry."""
-    return "" if member.endswith("/") else posixpath.basename(member)
+# Why an archive can't be used.
+ABSENT, NO_BYTES, WRONG_SIZE, WRONG_SUM, UNREADABLE, DAMAGED = (
+    "absent", "no bytes", "size differs", "checksum differs", "not readable", "damaged member",
+)
 
 
-def _problem(stream) -> str | None:
-    try:
-        with zipfile.ZipFile(stream) as archive:
-            bad = archive.testzip()
-    except zipfile.BadZipFile as exc:
-        return f"bad ZIP file: {exc}"
-    except (ValueError, EOFError, zlib.error) as exc:
-        # Too short to be an archive, or cut off within a member.
-        return f"bad ZIP file: {exc}"
-    return f"corrupt member in ZIP: {bad}" if bad else None
+def check_found(expected: DataFrame, found: DataFrame) -> DataFrame:
+    """(name, problem) of every expected file: null, or what is wrong by its listing alone.
 
+    ``expected`` has a name and may have the size and sha256 that a listing gives; ``found`` has name, size and, if sums are to
+    be compared, sha256. One join; no file is opened.
+    """
+    columns = {"size": "bigint", "sha256": "string"}
+    e = expected.select("name", *[(F.col(c) if c in expected.columns else F.lit(None).cast(t)).alias(f"listed_{c}") for c, t in columns.items()])
+    f = found.select("name", *[(F.col(c) if c in found.columns else F.lit(None).cast(t)).alias(c) for c, t in columns.items()], F.lit(True).alias("there"))
+    problem = (
+        F.when(F.col("there").isNull(), ABSENT).when(F.col("size") == 0, NO_BYTES).when(F.col("listed_size") != F.col("size"), WRONG_SIZE)
+        .when(F.col("listed_sha256") != F.col("sha256"), WRONG_SUM)
+    )
+    return e.join(f, "name", "left").select("name", problem.alias("problem"))
 
-def check_contents(archives: DataFrame) -> DataFrame:
-    """Integrity of archives held as (path, content): error text, or null with the SHA-256 digest."""
 
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            errors = [
-                _problem(io.BytesIO(c)) if c else f"empty file: {p}" for p, c in zip(batch["path"], batch["content"])
-            ]
-            yield pd.DataFrame({"path": batch["path"], "error": errors, "sha256": batch["sha256"]})
+def flat_members(listed: DataFrame) -> DataFrame:
+    """Members under their flat names (last component); entries of folders are left out."""
+    name = F.element_at(F.split("member", "/"), -1)
+    return listed.withColumn("name", name).filter(F.col("name") != "")
+
 
-    # The digest is a built-in expression, so it stays out of Python.
-    hashed = archives.select("path", "content", F.sha2("content", 256).alias("sha256"))
-    checked = hashed.mapInPandas(check, CHECK_SCHEMA)
-    return checked.withColumn("sha256", F.when(F.col("error").isNull(), F.col("sha256")))
+def first_of_name(members: DataFrame) -> DataFrame:
+    """Of members that share a flat name the first one, by archive, then position."""
+    return members.groupBy("name").agg(F.min(F.struct("path", "position", "size")).alias("first")).select("name", "first.*")
 
 
 MAX_TASKS = 20_000
@@ -84,67 +78,57 @@ def one_per_task(df: DataFrame, column: str) -> DataFrame:
     return df.repartitionByRange(min(max(df.count(), 1), MAX_TASKS), column)
 
 
-def check_files(paths: DataFrame) -> DataFrame:
-    """The same check on files named by ``path``, streamed, so archives may exceed memory."""
+def _read_through(stream) -> tuple[str | None, str | None]:
+    """Read every member to its end: (problem, what about it)."""
+    member = None
+    try:
+        with zipfile.ZipFile(stream) as archive:
+            for info in archive.infolist():
+                member = info.filename
+                with archive.open(info) as content:
+                    while content.read(CHUNK):
+                        pass
+    except (zipfile.BadZipFile, ValueError, EOFError, OSError, NotImplementedError, RuntimeError, zlib.error) as exc:
+        return (UNREADABLE, str(exc)) if member is None else (DAMAGED, member)
+    return None, None
+
+
+def read_through(files: DataFrame) -> DataFrame:
+    """(path, problem, detail, sha256) of archives by path: members are read as streams, so an archive may exceed memory."""
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path in batch["path"]:
                 system, inner = _open(path)
-                digest = error = None
-                info = system.get_file_info(inner)
-                if not info.is_file:
-                    error = f"file not found: {path}"
-                elif info.size == 0:
-                    error = f"empty file: {path}"
-                else:
+                info, digest, detail = system.get_file_info(inner), None, None
+                problem = (None if info.size else NO_BYTES) if info.is_file else ABSENT
+                if problem is None:
                     with closing(system.open_input_file(inner)) as stream:
-                        error = _problem(stream)
-                    if error is None:
-                        sha = hashlib.sha256()
-                        with closing(system.open_input_file(inner)) as stream:
-                            while chunk := stream.read(CHUNK):
-                                sha.update(chunk)
-                        digest = sha.hexdigest()
-                yield pd.DataFrame({"path": [path], "error": [error], "sha256": [digest]})
-
-    return one_per_task(paths.select("path"), "path").mapInPandas(check, CHECK_SCHEMA)
-
-
-def check_expected(expected: DataFrame, checked: DataFrame) -> DataFrame:
-    """Check result per expected ``name``; a name without a file is an error, too."""
-    name = F.regexp_extract("path", "[^/]+$", 0)
-    found = checked.select(name.alias("name"), "error", "sha256", F.lit(True).alias("found"))
-    error = F.when(F.col("found").isNull(), F.concat(F.lit("file not found: "), F.col("name"))).otherwise(
-        F.col("error")
-    )
-    return expected.select("name").join(found, "name", "left").select(
-        "name", error.isNull().alias("ok"), "sha256", error.alias("error")
-    )
+                        problem, detail = _read_through(stream)
+                if problem is None:
+                    sha = hashlib.sha256()
+                    with closing(system.open_input_file(inner)) as stream:
+                        while chunk := stream.read(CHUNK):
+                            sha.update(chunk)
+                    digest = sha.hexdigest()
+                yield pd.DataFrame({"path": [path], "problem": [problem], "detail": [detail], "sha256": [digest]})
 
+    return one_per_task(files.select("path"), "path").mapInPandas(check, CHECK_SCHEMA)
 
-def expand_contents(archives: DataFrame) -> DataFrame:
-    """Members of archives held as (path, content), directories flattened, directory entries skipped."""
 
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows, held = [], 0
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for info in archive.infolist():
-                        name = _flat_name(info.filename)
-                        if not name:
-                            continue
-                        data = archive.read(info)
-                        rows.append((path, name, len(data), data))
-                        held += len(data)
-                        if held >= CHUNK or len(rows) >= MAX_ROWS:
-                            yield pd.DataFrame(rows, columns=EXPANDED_COLUMNS)
-                            rows, held = [], 0
-        if rows:
-            yield pd.DataFrame(rows, columns=EXPANDED_COLUMNS)
-
-    return archives.select("path", "content").mapInPandas(expand, EXPANDED_SCHEMA)
+def check_files(expected: DataFrame, found: DataFrame, folder: str) -> DataFrame:
+    """(name, ok, sha256, error) of every expected archive. ``found`` has path, name and size of the files in ``folder``.
+
+    What a listing tells is told by a join. Archives that pass it are opened, and those it lacks looked for, since Spark lists no
+    files without content.
+    """
+    listed = check_found(expected, found).join(found.select("name", "path"), "name", "left")
+    path = F.coalesce("path", F.concat(F.lit(folder.rstrip("/") + "/"), "name"))
+    listed = listed.select("name", path.alias("path"), F.when(F.col("problem") != ABSENT, F.col("problem")).alias("problem"))
+    opened = read_through(listed.filter("problem IS NULL")).withColumnRenamed("problem", "inner")
+    problem = F.coalesce("problem", "inner")
+    error = F.when(problem.isNotNull(), F.concat_ws(": ", problem, "detail"))
+    return listed.join(opened, "path", "left").select("name", problem.isNull().alias("ok"), "sha256", error.alias("error"))
 
 
 def list_members(paths: DataFrame) -> DataFrame:
@@ -172,26 +156,19 @@ def extract_files(paths: DataFrame, target: str) -> DataFrame:
     """Unpack archives into the shared folder ``target``; returns (path, name, bytes) per written file.
 
     Work is spread over members. Where two members share a flat name the first one (by archive, then
-    position) is kept, and a file already there with content is left alone. Each task writes under
+    position) is kept, and a file that is there with the member's size is left alone. Each task writes under
     a name of its own and renames at the end, so a task that runs twice does no harm.
     """
-    name = F.element_at(F.split("member", "/"), -1)
-    listed = list_members(paths).filter(~F.col("member").endswith("/")).withColumn("name", name)
-    chosen = (
-        listed.groupBy("name")
-        .agg(F.min(F.struct("path", "position", "member")).alias("first"))
-        .select("name", "first.path", "first.position")
-    )
-    spread = one_per_task(chosen, "name")
+    spread = one_per_task(first_of_name(flat_members(list_members(paths))), "name")
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for path, position, out_name in zip(batch["path"], batch["position"], batch["name"]):
+            for path, position, out_name, size in zip(batch["path"], batch["position"], batch["name"], batch["size"]):
                 system, folder = _open(target)
                 system.create_dir(folder, recursive=True)
                 final = f"{folder.rstrip('/')}/{out_name}"
                 info = system.get_file_info(final)
-                if not (info.is_file and info.size):
+                if not (info.is_file and info.size == size):
                     part = f"{final}.{uuid.uuid4().hex}.tmp"
                     source, inner = _open(path)
                     with closing(source.open_input_file(inner)) as stream, zipfile.ZipFile(stream) as archive:

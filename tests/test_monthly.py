@@ -4,9 +4,9 @@ import zipfile
 
 import pytest
 
-from rollbook.operators import checks, ledger as L, search as S
+from rollbook.operators import checks, drops, ledger as L, search as S
 from rollbook.plans import monthly
-from rollbook.sources import archives, raw_files
+from rollbook.sources import archives, listings, raw_files
 from rollbook.sources.registry import LAYOUTS
 from rollbook.sources.run_events import RunEvents
 from rollbook.sources.tables import TableFolder
@@ -257,18 +257,15 @@ def test_damaged_archives(spark, tmp_path):
     (tmp_path / "Motivos.zip").write_bytes(b"")
     (tmp_path / "Portes.zip").write_bytes(b"no archive")
     names = [(n,) for n in ("Cnaes.zip", "Paises.zip", "Motivos.zip", "Portes.zip", "Simples.zip")]
-    paths = spark.createDataFrame([(f"{tmp_path}/{n}",) for (n,) in names], "path string")
-    report = archives.check_files(paths).collect()
-    got = {
-        r["path"].rsplit("/", 1)[1]: (r["error"] is None, (r["error"] or "").split(":")[0], len(r["sha256"] or ""))
-        for r in report
-    }
+    expected = spark.createDataFrame(names, "name string")
+    report = monthly.verify_archives(spark, str(tmp_path), expected)
+    got = {r["name"]: (r["ok"], (r["error"] or "").split(":")[0], len(r["sha256"] or "")) for r in report.collect()}
     assert got == {
-        "Cnaes.zip": (True, "", 64), "Paises.zip": (False, "corrupt member in ZIP", 0), "Motivos.zip": (False, "empty file", 0),
-        "Portes.zip": (False, "bad ZIP file", 0), "Simples.zip": (False, "file not found", 0),
+        "Cnaes.zip": (True, "", 64), "Paises.zip": (False, "damaged member", 0), "Motivos.zip": (False, "no bytes", 0),
+        "Portes.zip": (False, "not readable", 0), "Simples.zip": (False, "absent", 0),
     }
-    with pytest.raises(checks.CheckFailed, match="damaged archives: 4, the first Motivos.zip: empty file"):
-        monthly.require_sound(monthly.verify_archives(spark, str(tmp_path), spark.createDataFrame(names, "name string")))
+    with pytest.raises(checks.CheckFailed, match="damaged archives: 4, the first Motivos.zip: no bytes"):
+        monthly.require_sound(report)
 
 
 def test_extract_keeps_first_of_equal_names_and_existing_files(spark, tmp_path):
@@ -285,15 +282,14 @@ def test_extract_keeps_first_of_equal_names_and_existing_files(spark, tmp_path):
     assert sorted(p.name for p in target.iterdir() if not p.name.startswith(".")) == ["data.csv", "keep.csv"]
 
 
-def test_should_load(spark):
-    runs = spark.createDataFrame([("2026-02", "SUCCESS"), ("2026-03", "FAILED")], "run_key string, status string")
-    a = spark.createDataFrame([("x.zip", "1")], "name string, etag string")
-    b = spark.createDataFrame([("x.zip", "2")], "name string, etag string")
-    assert not monthly.should_load(runs, "2026-02", a, b)
-    assert monthly.should_load(runs, "2026-02", a, b, force=True)
-    assert monthly.should_load(runs, "2026-03", a, b)
-    assert not monthly.should_load(runs, "2026-03", a, a)
-    assert monthly.should_load(runs, "2026-04", None, a)
+def test_a_cut_file_is_extracted_again(spark, tmp_path):
+    zips, target = tmp_path / "z", tmp_path / "out"
+    zips.mkdir(), target.mkdir()
+    with zipfile.ZipFile(zips / "a.zip", "w") as z:
+        z.writestr("data.csv", "whole")
+    (target / "data.csv").write_text("who")
+    assert rows(archives.extract_files(raw_files.list_files(spark, str(zips)), str(target)), "bytes") == {(5,)}
+    assert (target / "data.csv").read_text() == "whole"
 
 
 def test_watch_drops_handles_each_note_once(spark, tmp_path):
@@ -325,10 +321,10 @@ def _zip_drop(folder, name):
             z.writestr(member, text)
 
 
-def _listed(spark, tag):
+def _listed(spark, tag, sizes=None):
     files = [("2026-05.txt", "-"), ("Empresas0.zip", tag), ("Estabelecimentos0.zip", "1")]
     return spark.createDataFrame(
-        [(n, n, False, 1, "", t) for n, t in files], "name string, path string, is_dir boolean, size long, modified string, etag string"
+        [(n, n, False, (sizes or {}).get(n, 0), "", t) for n, t in files], "name string, path string, is_dir boolean, size long, modified string, etag string"
     )
 
 
@@ -357,3 +353,23 @@ def test_drop_from_listing_to_load(spark, tmp_path):
     assert drop("3", run_key="2026-06")[2:] == ("resume", "load-2026-06") and names() == {("THREE",)}
     with pytest.raises(monthly.LoadFailed, match="no wanted archive"):
         monthly.run_drop(spark, root, raw, str(zips), _listed(spark, "1").filter("etag = '-'"))
+
+
+def test_a_run_that_died_after_its_listing_was_saved_is_loaded(spark, tmp_path):
+    root, raw, zips = str(tmp_path / "root"), str(tmp_path / "raw"), tmp_path / "zips"
+    _zip_drop(zips, "ONE")
+    listing = _listed(spark, "1")
+    wanted = drops.wanted_files(listing)
+    listings.write_manifest(wanted, "2026-05", f"{root}/manifests/run_key=2026-05")
+    got = monthly.run_drop(spark, root, raw, str(zips), listing)
+    assert (got["decision"], got["job_id"]) == ("load", "load-2026-05")
+
+
+def test_an_archive_of_another_size_than_listed_stops_the_load(spark, tmp_path):
+    root, raw, zips = str(tmp_path / "root"), str(tmp_path / "raw"), tmp_path / "zips"
+    _zip_drop(zips, "ONE")
+    sizes = {p.name: p.stat().st_size for p in zips.iterdir()}
+    wrong = {**sizes, "Empresas0.zip": sizes["Empresas0.zip"] + 1}
+    with pytest.raises(monthly.LoadFailed, match="another size than listed: 1, the first Empresas0.zip"):
+        monthly.run_drop(spark, root, raw, str(zips), _listed(spark, "1", wrong), check_only=False)
+    assert monthly.run_drop(spark, root, raw, str(zips), _listed(spark, "2", sizes), check_only=True)["decision"] == "load"

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
@@ -84,7 +82,7 @@ _NEW_TAG = "md5(concat(text, CASE WHEN doc_id % 97 % 7 = 0 THEN 'x' ELSE '' END)
     f"OR doc_id % 2 = 0), runs AS (SELECT DISTINCT {_MONTH} AS run_key, {_RUN_STATUS} AS status FROM documents WHERE "
     "doc_id % 97 % 4 <> 3), counted AS (SELECT run_key, count(new.name) AS files, count(*) FILTER (old.name IS NULL OR "
     "new.name IS NULL OR old.etag <> new.etag) AS changes FROM old FULL JOIN new USING (run_key, name) GROUP BY 1) "
-    "SELECT run_key, files, changes, CASE WHEN status = 'SUCCESS' THEN 'done' WHEN changes > 0 THEN 'load' "
+    "SELECT run_key, files, changes, CASE WHEN status = 'SUCCESS' THEN 'done' WHEN changes > 0 OR status IS NULL THEN 'load' "
     "WHEN status = 'FAILED' THEN 'resume' ELSE 'unchanged' END AS decision FROM counted LEFT JOIN runs USING (run_key) "
     "WHERE files > 0",
 )
@@ -267,71 +265,54 @@ def text_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"))
 
 
-def _zipped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One archive per document: its text in a folder, its language and a folder entry."""
-
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            contents = []
-            for text, lang in zip(batch["text"], batch["lang"]):
-                buffer = io.BytesIO()
-                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                    archive.writestr("inner/", b"")
-                    archive.writestr("inner/text.csv", text.encode())
-                    archive.writestr("lang.csv", lang.encode())
-                contents.append(buffer.getvalue())
-            yield pd.DataFrame({"path": batch["path"], "content": contents})
-
-    docs = table(spark, sf_dir, "documents").select(
-        F.concat(F.lit("drop/"), F.col("doc_id").cast("string"), F.lit(".zip")).alias("path"), "text", "lang"
-    )
-    return docs.mapInPandas(pack, "path string, content binary")
+_ZIP = "CAST(doc_id AS VARCHAR) || '.zip'"
 
 
 @query(
     "archive_members",
-    "SELECT 'drop/' || CAST(doc_id AS VARCHAR) || '.zip' AS path, 'text.csv' AS member, strlen(text) AS size, "
-    "sha256(text) AS sha256 FROM documents UNION ALL "
-    "SELECT 'drop/' || CAST(doc_id AS VARCHAR) || '.zip', 'lang.csv', strlen(lang), sha256(lang) FROM documents",
+    f"SELECT 'drop/' || {_ZIP} AS path, 'text.csv' AS member, strlen(text) AS size, sha256(text) AS sha256 FROM documents UNION ALL "
+    f"SELECT 'drop/' || {_ZIP}, 'lang.csv', strlen(lang), sha256(lang) FROM documents",
 )
 def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Members of every archive under their flat names; folders are left out."""
-    return archives.expand_contents(_zipped(spark, sf_dir)).select(
-        "path", "member", "size", F.sha2("content", 256).alias("sha256")
+    """Members listed by archive, under their flat names; folders are left out, and of equal names in an archive the first is taken."""
+    path = F.concat(F.lit("drop/"), F.col("doc_id").cast("string"), F.lit(".zip"))
+    entries = [("inner/", F.lit("")), ("inner/text.csv", F.col("text")), ("lang.csv", F.col("lang")), ("later/lang.csv", F.col("text"))]
+    rows = F.array(*[
+        F.struct(F.lit(k).alias("position"), F.lit(m).alias("member"), F.octet_length(c).cast("bigint").alias("size"), F.sha2(c, 256).alias("sha256"))
+        for k, (m, c) in enumerate(entries)
+    ])
+    listed = table(spark, sf_dir, "documents").select(path.alias("archive"), F.explode(rows).alias("e")).select("archive", "e.*")
+    flat = archives.flat_members(listed)
+    first = archives.first_of_name(flat.select(F.concat_ws("|", "archive", "name").alias("name"), F.col("archive").alias("path"), "position", "size"))
+    return flat.join(first.select(F.col("path").alias("archive"), "position"), ["archive", "position"]).select(
+        F.col("archive").alias("path"), F.col("name").alias("member"), "size", "sha256"
     )
 
 
 def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archives of one language are cut short, those of one source are empty."""
-    docs = table(spark, sf_dir, "documents").select(
-        F.concat(F.lit("drop/"), F.col("doc_id").cast("string"), F.lit(".zip")).alias("path"), "lang", "source"
-    )
-    damaged = _zipped(spark, sf_dir).join(docs, "path").select(
-        "path",
-        F.when(F.col("source") == "src3", F.lit(b""))
-        .when(F.col("lang") == "es", F.expr("substring(content, 1, length(content) - 30)"))
-        .otherwise(F.col("content")).alias("content"),
-    )
-    expected = docs.filter("source <> 'src6'").select(X.file_name(F.col("path")).alias("name"))
-    missing = table(spark, sf_dir, "benchmark").select(
-        F.concat(F.lit("missing"), F.col("item_id").cast("string"), F.lit(".zip")).alias("name")
-    )
-    return archives.check_expected(expected.unionByName(missing), archives.check_contents(damaged))
+    """Files found against a listing: those of one language are cut short, those of one source are empty, one source is not expected."""
+    docs = table(spark, sf_dir, "documents")
+    name, size = F.concat(F.col("doc_id").cast("string"), F.lit(".zip")).alias("name"), F.octet_length("text").cast("bigint")
+    content = F.when(F.col("source") == "src3", "").when(F.col("lang") == "es", F.expr("substring(text, 2)")).when(F.col("lang") == "de", F.reverse("text")).otherwise(F.col("text"))
+    found = docs.select(name, content.alias("content")).select("name", F.octet_length("content").cast("bigint").alias("size"), F.sha2("content", 256).alias("sha256"))
+    listed = docs.filter("source <> 'src6'").select(name, size.alias("size"), F.sha2("text", 256).alias("sha256"))
+    missing = table(spark, sf_dir, "benchmark").select(F.concat(F.lit("missing"), F.col("item_id").cast("string"), F.lit(".zip")).alias("name"), F.lit(None).cast("bigint").alias("size"), F.lit(None).cast("string").alias("sha256"))
+    return archives.check_found(listed.unionByName(missing), found)
 
 
 _CHECK = (
-    "WITH checked AS (SELECT CAST(doc_id AS VARCHAR) || '.zip' AS name, CASE WHEN source = 'src3' THEN 'empty file' "
-    "WHEN lang = 'es' THEN 'bad ZIP file' END AS error FROM documents WHERE source <> 'src6' UNION ALL "
-    "SELECT 'missing' || CAST(item_id AS VARCHAR) || '.zip', 'file not found' FROM benchmark) "
+    f"WITH checked AS (SELECT {_ZIP} AS name, CASE WHEN source = 'src3' OR strlen(text) = 0 THEN 'no bytes' WHEN lang = 'es' AND strlen(substr(text, 2)) = 0 THEN 'no bytes' "
+    "WHEN lang = 'es' THEN 'size differs' WHEN lang = 'de' AND reverse(text) <> text THEN 'checksum differs' END AS error FROM documents WHERE source <> 'src6' UNION ALL "
+    "SELECT 'missing' || CAST(item_id AS VARCHAR) || '.zip', 'absent' FROM benchmark) "
 )
 
 
 @query("archive_check", _CHECK + "SELECT name, error IS NULL AS ok, error FROM checked")
 def archive_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _checked(spark, sf_dir).select("name", "ok", F.substring_index("error", ":", 1).alias("error"))
+    return _checked(spark, sf_dir).select("name", F.col("problem").isNull().alias("ok"), F.col("problem").alias("error"))
 
 
 @query("archive_outcomes", _CHECK + "SELECT count(*) FILTER (error IS NULL) AS ok, count(*) FILTER (error IS NOT NULL) AS "
                                     "failed FROM checked")
 def archive_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return outcome_counts(_checked(spark, sf_dir), "ok")
+    return outcome_counts(archive_check(spark, sf_dir), "ok")
