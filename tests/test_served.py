@@ -4,13 +4,14 @@ import random
 
 import pytest
 
-from rollbook.operators import search as S
+from rollbook.operators import partners, search as S
 from rollbook.operators.zorder import z_ordered
 from rollbook.plans import served as P
 from rollbook.plans.serving import build_serving
 from rollbook.sources.tables import TableFolder
-from tests.helpers import rows
+from tests.helpers import plan_of, rows
 from workload import roles
+from workload.served import _partner_tables
 
 
 @pytest.fixture(scope="module")
@@ -116,3 +117,19 @@ def test_side_tables_of_another_version_are_not_used(spark, folder, served):
     assert old.names is None and old.filters is None
     assert rows(old.search(razao_social="000012", cnae="0000011")) == rows(served.search(razao_social="000012", cnae="0000011"))
     assert len({v for t, v in folder.current_versions().items()}) == 1 and folder.publications().select("published_at").distinct().count() == 1
+
+
+def test_partners_are_not_shuffled(spark, sf_dir):
+    people, regimes = _partner_tables(spark, sf_dir)
+    # without broadcasts, as for tables that are too large for one
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        one, every = partners.partners_of(people, regimes, ["00000007"]), partners.with_regime(people, regimes)
+        assert "Exchange" not in plan_of(one) and "Exchange" not in plan_of(every)
+        assert "SelectedBucketsCount: 1 out of 64" in plan_of(one)
+        assert rows(every.filter("cnpj_basico = '00000007'")) == rows(one) and one.count() == 2
+        assert rows(partners.with_regime(people, regimes, salted=True)) == rows(every)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    with pytest.raises(S.InvalidKey):
+        partners.partners_of(people, regimes, ["7"])

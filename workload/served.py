@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rollbook.functions.text import zero_pad
+from rollbook.operators import partners
 from rollbook.plans.served import KEY, Served, write_served
 from rollbook.plans.serving import build_serving
+from rollbook.sources.registry import SOCIOS
 from rollbook.sources.tables import TableFolder
 from workload import roles
 from workload.catalog import query
-from workload.oracle import STAR, sql
+from workload.oracle import STAR, sql, zpad
+from workload.roles import table
 from workload.serving import _once, dated
 
 
@@ -75,3 +79,40 @@ def served_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How long each posting list is."""
     return published(spark, sf_dir).pieces.filter("trigram <> ''")
+
+
+def _partner_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Partners and regimes, saved once per data set: suppliers and customers are partners, of the company of their number."""
+    tables = {}
+
+    def write(path: str) -> None:
+        customer, supplier = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
+        people = roles.filled(
+            customer, SOCIOS, cnpj_basico=zero_pad(F.col("c_custkey"), 8), nome_socio=F.col("c_name"), qualificacao_socio=zero_pad(F.col("c_nationkey"), 2)
+        ).unionByName(roles.filled(supplier, SOCIOS, cnpj_basico=zero_pad(F.col("s_suppkey"), 8), nome_socio=F.col("s_name"), qualificacao_socio=zero_pad(F.col("s_nationkey"), 2)))
+        for name, df in (("socios", people), ("simples", roles.simples(customer))):
+            partners.save_by_company(df, f"rollbook_{name}_{path.rsplit('-', 1)[1]}", f"{path}/{name}")
+
+    path = _once("partners", spark, sf_dir, write)
+    for name in ("socios", "simples"):
+        tables[name] = spark.table(f"rollbook_{name}_{path.rsplit('-', 1)[1]}")
+    return tables["socios"], tables["simples"]
+
+
+_PARTNERS = (
+    f"SELECT p.cnpj_basico, p.nome_socio, p.qualificacao_socio, s.opcao_pelo_simples, s.opcao_pelo_mei FROM (SELECT {zpad('c_custkey', 8)} AS cnpj_basico, c_name AS nome_socio, "
+    f"{zpad('c_nationkey', 2)} AS qualificacao_socio FROM customer UNION ALL SELECT {zpad('s_suppkey', 8)}, s_name, {zpad('s_nationkey', 2)} FROM supplier) p LEFT JOIN simples s ON s.cnpj_basico = p.cnpj_basico"
+)
+_PARTNER_COLUMNS = ("cnpj_basico", "nome_socio", "qualificacao_socio", "opcao_pelo_simples", "opcao_pelo_mei")
+
+
+@query("partners_of", sql("simples", _PARTNERS + " WHERE p.cnpj_basico IN ('00000003', '00000007', '00000099')"))
+def partners_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of three companies: their buckets are read, and nothing is shuffled."""
+    return partners.partners_of(*_partner_tables(spark, sf_dir), ["00000007", "00000003", "00000099"]).select(*_PARTNER_COLUMNS)
+
+
+@query("partners_with_regime", sql("simples", _PARTNERS))
+def partners_with_regime(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of all companies: bucket by bucket."""
+    return partners.with_regime(*_partner_tables(spark, sf_dir)).select(*_PARTNER_COLUMNS)
