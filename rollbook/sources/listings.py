@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rollbook.functions.text import bare_etag, is_directory, last_segment, long_or_zero, resolve_url, strip_whitespace
@@ -64,16 +67,53 @@ def listing_hrefs(xml: Column, root: str = LISTING_PREFIX) -> Column:
     )
 
 
-# What a link looks like in a page, and the parts of a page that hold no links.
+# What a link looks like in a page, and the parts of a page that hold no links. A value may be in quotes of either
+# kind, or in none.
 NO_LINKS = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*["']([^"']*)["']"""
+HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'<>=`][^\s>]*)"""
+# Fixed value: what stands for characters in a page, by decimal or hexadecimal number or by name.
+ENTITY = "(?s)^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);(.*)$"
+_LAST_CHARACTER = 0x10FFFF
+
+
+def _character(number: Column) -> Column:
+    """The character of a number; the replacement character where there is none."""
+    valid = (number > 0) & (number <= _LAST_CHARACTER) & ~number.between(0xD800, 0xDFFF)
+    code = F.when(valid, number).otherwise(0xFFFD)
+    return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+
+
+def _named_characters() -> Column:
+    """All names that end in a semicolon, as a map that is made once for a plan."""
+    names = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+    return F.from_json(F.lit(json.dumps(names)), "map<string,string>")
+
+
+def decode_entities(text: Column) -> Column:
+    """``text`` with its entities (``&amp;``, ``&#38;``, ``&#x26;``, any name with a semicolon) as characters; others stay."""
+    names = _named_characters()
+
+    def decoded(piece: Column) -> Column:
+        what, rest = F.regexp_extract(piece, ENTITY, 1), F.regexp_extract(piece, ENTITY, 2)
+        # Eight digits hold any character's number; a longer one is none.
+        hexadecimal = F.regexp_extract(what, "^#[xX]0*([0-9a-fA-F]{1,8})$", 1)
+        decimal = F.regexp_extract(what, "^#0*([0-9]{1,10})$", 1)
+        number = F.when(hexadecimal != "", F.conv(hexadecimal, 16, 10).cast("bigint")).when(decimal != "", decimal.cast("bigint"))
+        named = F.try_element_at(names, what)
+        character = F.when(what == "", None).when(what.startswith("#"), _character(F.coalesce(number, F.lit(0).cast("bigint")))).otherwise(named)
+        return F.coalesce(F.concat(character, rest), F.concat(F.lit("&"), piece))
+
+    pieces = F.split(text, "&", -1)
+    more = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), decoded)
+    return F.when(text.contains("&"), F.concat(F.element_at(pieces, 1), F.array_join(more, ""))).otherwise(text)
 
 
 def page_hrefs(html: Column) -> Column:
-    """Link targets as written in the page, entity-decoded ampersands."""
+    """Link targets of a page, without quotes, entities decoded."""
     body = F.regexp_replace(html, NO_LINKS, "")
     found = F.regexp_extract_all(body, F.lit(HREF), F.lit(1))
-    return F.transform(found, lambda h: F.replace(h, F.lit("&amp;"), F.lit("&")))
+    quoted = "(?s)^([\"'])(.*)\\1$"
+    return F.transform(found, lambda h: decode_entities(F.regexp_replace(h, quoted, "$2")))
 
 
 def page_links(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

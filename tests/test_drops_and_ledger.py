@@ -91,6 +91,16 @@ def test_links(spark):
     assert listings.archive_links(links).count() == 1
 
 
+def test_links_without_quotes_and_with_entities(spark):
+    html = (
+        "<a href=plain/x.zip>1</a><a class=c href=/u?a=1&amp;b=2 id=z>2</a><a href='q&quot;s'>3</a><a href=\"&#47;n&#x2F;m&#x2f;&#0047;\">4</a>"
+        "<a href='&eacute;&NotEqualTilde;&hellip;'>5</a><a href='&unknown;&amp &#xD800;&#99999999999;&#0;&;x&'>6</a><a href=''>7</a><a href=>8</a>"
+        "<a href='&#128512;&#x1F600;'>9</a><a\nhref =\n'y'>10</a>"
+    )
+    page = spark.createDataFrame([(html,)], "html string").select(listings.page_hrefs(F.col("html")).alias("h")).first()["h"]
+    assert page == ["plain/x.zip", "/u?a=1&b=2", 'q"s', "/n/m//", "é≂̸…", "&unknown;&amp \ufffd\ufffd\ufffd&;x&", "", "😀😀", "y"]
+
+
 T0 = datetime(2026, 3, 1)
 
 

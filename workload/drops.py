@@ -176,6 +176,21 @@ def link_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listings.page_links(table(spark, sf_dir, "pages"))
 
 
+@query(
+    "link_entities",
+    "SELECT page_id, k AS position, url AS href FROM pages, (SELECT unnest(range(2)) AS k) WHERE url IS NOT NULL AND NOT regexp_matches(url, '[\\s\"''<>`=]') AND url <> ''",
+)
+def link_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses written with entities of every kind, in quotes and without: each comes back as it was."""
+    url = F.col("url")
+    written = F.replace(F.replace(url, F.lit("&"), F.lit("&amp;")), F.lit("/"), F.lit("&#47;"))
+    written = F.replace(F.replace(F.replace(written, F.lit(":"), F.lit("&colon;")), F.lit("."), F.lit("&#x2E;")), F.lit("?"), F.lit("&quest;"))
+    pages = table(spark, sf_dir, "pages").filter(url.isNotNull() & ~url.rlike("[\\s\"'<>`=]") & (url != ""))
+    html = F.concat(F.lit("<p><a class=x href="), written, F.lit(" id=y>a</a> <a href='"), written, F.lit("'>b</a>"))
+    links = listings.page_links(pages.select("page_id", "url", html.alias("html")))
+    return links.select("page_id", F.col("position").cast("bigint").alias("position"), "href")
+
+
 @query("archive_links", _LINKS + "SELECT count(*) AS links, count(*) FILTER (lower(href) LIKE '%.zip%') AS archives FROM links")
 def archive_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = listings.page_links(table(spark, sf_dir, "pages"))

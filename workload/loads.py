@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rollbook.operators import checks
 from rollbook.operators.ledger import step_rollup
 from rollbook.plans import monthly
+from rollbook.plans.serving import build_serving
 from rollbook.session import work_dir
 from rollbook.sources import raw_files
 from rollbook.sources.registry import ESTABELECIMENTOS, LAYOUTS
@@ -132,3 +134,53 @@ def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup = live_rollup(roles.run_events(stream), ORDER)
     keep_latest(rollup, f"{root}/batches", f"{root}/checkpoint").awaitTermination()
     return times(latest_rows(spark.read.parquet(f"{root}/batches")).drop("first_write"))
+
+
+@query(
+    "dry_run",
+    sql("estabelecimentos", "SELECT 'estabelecimentos' AS table, count(*) FILTER (cnpj_basico <> '00000000') AS rows, count(*) FILTER (cnpj_basico = '00000000') AS skipped_invalid_required, 0 AS published FROM estabelecimentos"),
+)
+def dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dry run stops after cleaning: it counts rows and publishes nothing."""
+    sources = _raw_drop(spark, sf_dir, {"estabelecimentos": roles.estabelecimentos(table(spark, sf_dir, "orders"))})
+    root = work_dir(spark, "registry")
+    monthly.run_load(spark, root, "", monthly.Options(OLD_KEY, OLD_STAMP), sources=sources, dry_run=True)
+    counted = spark.read.schema(monthly.METRIC_SCHEMA).json(f"{root}/metrics/transform/run_key={OLD_KEY}").filter("files > 0")
+    published = len(TableFolder(spark, root).current_versions())
+    return counted.select("table", "rows", "skipped_invalid_required", F.lit(published).alias("published"))
+
+
+@query(
+    "unknown_table",
+    sql("estabelecimentos", "SELECT 'estabelecimentos' AS table, count(*) AS inserted FROM estabelecimentos WHERE cnpj_basico <> '00000000'"),
+)
+def unknown_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of no table are passed over; the others are loaded."""
+    sources = _raw_drop(spark, sf_dir, {"estabelecimentos": roles.estabelecimentos(table(spark, sf_dir, "orders"))})
+    folder, options = TableFolder(spark, work_dir(spark, "registry")), monthly.Options(OLD_KEY, OLD_STAMP)
+    monthly.transform(spark, folder, sources, options)
+    return monthly.load(spark, folder, options, ["nonsense", "estabelecimentos", "Empresas "]).select("table", "inserted")
+
+
+@query(
+    "empty_serving_guard",
+    sql(
+        STAR, "SELECT 'all' AS companies, count(*) AS rows, count(*) > 0 AS passed FROM star UNION ALL "
+        "SELECT 'none with branches', 0, false",
+    ),
+)
+def empty_serving_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A serving table without rows is refused: here that of companies none of which has a branch."""
+    tables = roles.registry_tables(spark, sf_dir)
+    lone = {**tables, "empresas": tables["empresas"].join(tables["estabelecimentos"].select("cnpj_basico"), "cnpj_basico", "left_anti")}
+    answers = None
+    for name, given in (("all", tables), ("none with branches", lone)):
+        rows = build_serving(given)
+        try:
+            checks.require_rows(rows, "serving")
+            passed = True
+        except checks.CheckFailed:
+            passed = False
+        answer = rows.agg(F.count("*").alias("rows")).select(F.lit(name).alias("companies"), "rows", F.lit(passed).alias("passed"))
+        answers = answer if answers is None else answers.unionByName(answer)
+    return answers
