@@ -64,13 +64,14 @@ RAW, HEADERED = Form(";", "ISO-8859-1"), Form(",", "UTF-8")
 
 
 def raw_lines(spark: SparkSession, paths: Sequence[str], form: Form = RAW) -> DataFrame:
-    """(path, block, at, text): lines with the range of the file they begin in; ``at`` grows by one along a range."""
+    """(path, block, at, text, range): lines with the range of the file they begin in; ``at`` grows by one along a range. ``range`` is the
+    range as one number, which is sorted and compared faster than a path."""
     value = F.col("value")
     text = value if form.encoding == "UTF-8" else F.decode(value.cast("binary"), form.encoding)
     return spark.read.option("lineSep", "\n").text(list(paths)).select(
         percent_decode(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"), text.alias("text"),
-    )
+    ).withColumn("range", F.xxhash64("path", "block"))
 
 
 _RANGE = ["path", "block"]
@@ -95,7 +96,7 @@ def _states(lines: DataFrame) -> DataFrame:
     ``flips`` counts lines that turn the state round; ``fixed`` is the state that the last line which
     ends in one state whatever it began in leaves, turned back by the flips so far: the state is (fixed or begin) + flips, modulo 2.
     """
-    along = Window.partitionBy(*_RANGE).orderBy("at")
+    along = Window.partitionBy("range").orderBy("at")
     upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     lines = lines.withColumn("flips", F.sum((F.col("opens") & ~F.col("stays")).cast("int")).over(upto))
     settled = F.when(F.col("opens") == F.col("stays"), (F.col("opens").cast("int") + F.col("flips")) % 2)
@@ -119,7 +120,7 @@ def file_ranges(lines: DataFrame, form: Form = RAW, spans: bool = True) -> DataF
         found = lines.groupBy(*_RANGE).agg(F.min("at").alias("first_at"), F.count("*").alias("lines"), F.count_if(blank).alias("blank_lines"))
         return found.withColumn("records", F.col("lines")).withColumn("begin", F.lit(0)).withColumns(sums)
     # The text stays behind: what the patterns say of a line is all that crosses the shuffle of this pass.
-    states = _states(_functions(lines, form).select(*_RANGE, "at", blank.alias("blank"), "opens", "stays"))
+    states = _states(_functions(lines, form).select(*_RANGE, "range", "at", blank.alias("blank"), "opens", "stays"))
     counts = []
     for begin in (0, 1):
         starts = ~_inside("fixed_before", "flips_before", F.lit(begin))
@@ -161,16 +162,24 @@ def records(lines: DataFrame, ranges: DataFrame, form: Form = RAW, spans: bool =
     if not spans:
         found = lines.join(ranges, _RANGE).filter(~_is_blank(F.col("text")))
         return found.select("path", number.alias("record"), number.alias("line"), F.regexp_replace("text", r"\r$", "").alias("text"))
-    found = _states(_functions(lines, form)).join(ranges.select(*_RANGE, "first_at", "begin", "lines_before", "records_before"), _RANGE)
+    # Nothing but numbers goes with the text: what is known of a range, its path too, is joined when the states are.
+    found = _states(_functions(lines, form).select("range", "at", "text", "opens", "stays"))
+    known = ranges.select(F.xxhash64(*_RANGE).alias("range"), "path", "first_at", "begin", "lines_before", "records_before")
+    found = found.join(known, "range")
     begins, ends = ~_inside("fixed_before", "flips_before", F.col("begin")), ~_inside("fixed", "flips", F.col("begin"))
-    upto = Window.partitionBy(*_RANGE).orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = found.select("path", "block", "at", "text", "records_before", number.alias("line"), begins.alias("begins"), (begins & ends).alias("whole"))
+    found = found.select("path", "range", "at", "text", "records_before", number.alias("line"), begins.alias("begins"), ends.alias("ends"))
+    upto = Window.partitionBy("range").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = found.withColumn("record", F.sum(F.col("begins").cast("long")).over(upto) + F.col("records_before"))
-    single = found.filter("whole").filter(~_is_blank(F.col("text"))).select("path", "record", "line", "text")
-    pieces = F.array_sort(F.collect_list(F.struct("line", "text")))
-    spanning = found.filter("NOT whole").groupBy("path", "record").agg(
-        F.min("line").alias("line"), F.array_join(F.transform(pieces, lambda p: p["text"]), "\n").alias("text")
-    )
+    single = found.filter("begins AND ends").filter(~_is_blank(F.col("text"))).select("path", "record", "line", "text")
+
+    def put_together(rows: DataFrame, *by: str) -> DataFrame:
+        pieces = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda p: p["text"]), "\n")
+        return rows.groupBy(*by, "path", "record").agg(F.min("line").alias("line"), pieces.alias("text"), F.bool_or("begins").alias("begins"), F.bool_or("ends").alias("ends"))
+
+    # Within its range a record's lines are together already; only those over a range's end meet by a shuffle, one row of each range.
+    inner = put_together(found.filter("NOT (begins AND ends)"), "range").drop("range")
+    over = put_together(inner.filter("NOT (begins AND ends)"))
+    spanning = inner.filter("begins AND ends").unionByName(over).select("path", "record", "line", "text")
     return single.unionByName(spanning).withColumn("text", F.regexp_replace("text", r"\r\z", ""))
 
 
