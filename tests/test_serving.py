@@ -30,6 +30,8 @@ SMALL = {
     "spark.sql.autoBroadcastJoinThreshold": "10k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
     "spark.sql.adaptive.enabled": "true",
+    # A partition is split by the tasks that wrote it, and tables this small are otherwise written by one.
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
 }
 
 
