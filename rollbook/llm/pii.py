@@ -29,6 +29,7 @@ from collections.abc import Iterable, Iterator
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollbook.llm.common import map_texts
@@ -344,11 +345,19 @@ def masked(text: str | None) -> str | None:
 _FIELDS = [*((f"n_{k}", T.LongType()) for k in KINDS), ("base_sha256", T.StringType()), ("spans", T.StringType()), ("n_disguised", T.LongType())]
 
 
+def _mapped(docs: DataFrame, judge, fields: list, text_col: str) -> DataFrame:
+    """:func:`map_texts` with the input columns under plain names meanwhile, whatever theirs are."""
+    names, new = docs.columns, [n for n, _ in fields]
+    plain_names = docs.select(*(F.col(f"`{c}`").alias(f"in{k}") for k, c in enumerate(names)))
+    mapped = map_texts(plain_names, judge, [(f"out{k}", kind) for k, (_, kind) in enumerate(fields)], f"in{names.index(text_col)}")
+    return mapped.select(*(F.col(f"in{k}").alias(c) for k, c in enumerate(names) if c not in new), *(F.col(f"out{k}").alias(n) for k, n in enumerate(new)))
+
+
 def found(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with the counts of plain identifiers, the digest of their places, the places of all, and how many are disguised."""
-    return map_texts(docs, judge, _FIELDS, text_col)
+    return _mapped(docs, judge, _FIELDS, text_col)
 
 
 def redacted(docs: DataFrame, text_col: str = "text", into: str = "masked") -> DataFrame:
     """``docs`` with the text without personal data as ``into``."""
-    return map_texts(docs, lambda text: (masked(text),), [(into, T.StringType())], text_col)
+    return _mapped(docs, lambda text: (masked(text),), [(into, T.StringType())], text_col)
