@@ -8,19 +8,23 @@ from pyspark.sql import Column, DataFrame, functions as F
 SALTS = 16
 
 
-def join_unique(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner", salts: int = 1) -> DataFrame:
+def join_unique(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner", salts: int = 1, merge: bool = False) -> DataFrame:
     """Join many facts to a table that is unique on ``key`` (``how``: inner or left).
 
     Spark picks broadcast or sort-merge by size, and adaptive execution splits a key that is too frequent.
     It does not where an operator that needs the rows by the same key follows; ``salts`` above 1 is for those
     joins: facts of a key are dealt over that many tasks by their content, and ``dim`` is copied to each. A
     retried task deals alike. Which of the two is used depends on the caller, never on the data.
+
+    ``merge`` is for a ``dim`` that grows with the facts: Spark knows its size from the bytes of its columns in the file, which may
+    be a twentieth of what they take in memory, and would broadcast it through the driver. Salted copies, which it does
+    not count at all, are always merged.
     """
     if salts == 1:
-        return facts.join(dim, key, how)
+        return facts.join(dim.hint("merge") if merge else dim, key, how)
     salt = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
     copies = dim.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return facts.withColumn("__salt", salt).join(copies, [key, "__salt"], how).drop("__salt")
+    return facts.withColumn("__salt", salt).join(copies.hint("merge"), [key, "__salt"], how).drop("__salt")
 
 
 def decode(df: DataFrame, code: str | Column, table: DataFrame, into: str) -> DataFrame:

@@ -70,6 +70,14 @@ def test_serving_needs_its_base_tables(tables):
         build_serving({**tables, "empresas": None})
 
 
+@pytest.mark.parametrize("options", [{"salts": 4}, {"merge": True}])
+def test_tables_that_grow_are_not_broadcast(spark, options):
+    facts, dim = (spark.range(10).select((F.col("id") % 3).alias("k"), F.col("id").alias(c)) for c in ("v", "w"))
+    joined = join_unique(facts, dim, "k", **options)
+    joined.collect()
+    assert "Broadcast" not in plan_of(joined)
+
+
 def test_code_tables_are_broadcast_by_size_only(spark, tables):
     branch = tables["estabelecimentos"]
     small = decode(branch, "cnae_fiscal", tables["cnaes"], "d")

@@ -107,7 +107,7 @@ def hot_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    joined = join_unique(join_unique(line, part, "p_partkey", salts=SALTS), orders, "o_orderkey")
+    joined = join_unique(join_unique(line, part, "p_partkey", salts=SALTS), orders, "o_orderkey", merge=True)
     return joined.select("o_orderkey", "l_linenumber", F.col("p_partkey").alias("l_partkey"), "p_name")
 
 
