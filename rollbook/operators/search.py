@@ -75,17 +75,20 @@ def search(
     return fetch(serving, found).orderBy("cnpj_completo").limit(clamp_limit(limit))
 
 
-def parse_key(key: str) -> str:
-    """Digits of a key as typed; 8 (base) or 14 (full) of them are needed."""
+def parse_key(key: str, full_length: int = FULL_LENGTH) -> str:
+    """Digits of a key as typed; 8 (base) or 14 (full) of them are needed.
+
+    ``full_length`` is for tables whose branch numbers have outgrown their four digits.
+    """
     digits = re.sub(r"\D", "", key, flags=re.ASCII)
-    if len(digits) not in (BASE_LENGTH, FULL_LENGTH):
-        raise InvalidKey(f"a key has {BASE_LENGTH} (base) or {FULL_LENGTH} digits, not {len(digits)}")
+    if len(digits) not in (BASE_LENGTH, full_length):
+        raise InvalidKey(f"a key has {BASE_LENGTH} (base) or {full_length} digits, not {len(digits)}")
     return digits
 
 
-def lookup(serving: DataFrame, key: str) -> DataFrame:
+def lookup(serving: DataFrame, key: str, full_length: int = FULL_LENGTH) -> DataFrame:
     """The record of a full key, or the first branch of a base key. Both columns are pushed to the scan."""
-    digits = parse_key(key)
+    digits = parse_key(key, full_length)
     hit = (F.col("cnpj_completo") == digits) | (F.col("cnpj_basico") == digits)
     return serving.filter(hit).orderBy("cnpj_completo").limit(1)
 

@@ -101,10 +101,10 @@ class Served:
         """Wide rows of the folders that these keys lie in."""
         return self.placed.filter(F.col("key_part").isin(sorted({part_of(k) for k in keys})))
 
-    def lookup(self, key: str) -> DataFrame:
+    def lookup(self, key: str, full_length: int = S.FULL_LENGTH) -> DataFrame:
         """The record of a full key, or the first branch of a base key: one folder is read."""
-        digits = S.parse_key(key)
-        column = KEY if len(digits) == S.FULL_LENGTH else "cnpj_basico"
+        digits = S.parse_key(key, full_length)
+        column = KEY if len(digits) == full_length else "cnpj_basico"
         return self.in_folders([digits]).filter(F.col(column) == digits).select(*SERVING_COLUMNS).orderBy(KEY).limit(1)
 
     def branches(self, base_key: str, limit: int = S.MAX_BRANCHES) -> DataFrame:

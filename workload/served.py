@@ -52,7 +52,8 @@ _search("served_all", "", 20)
 def served_lookup_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One folder is read for a full key."""
     served = published(spark, sf_dir)
-    return dated(served.lookup(served.filters.agg(F.max(KEY)).first()[0]), "updated_at")
+    key = served.filters.agg(F.max(KEY)).first()[0]
+    return dated(served.lookup(key, len(key)), "updated_at")
 
 
 @query("served_lookup_base", sql(STAR, "SELECT * FROM star WHERE cnpj_basico = (SELECT max(cnpj_basico) FROM star) ORDER BY cnpj_completo LIMIT 1"))

@@ -194,7 +194,7 @@ def lookup_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The record of a full key as typed, here the highest one."""
     view = served(spark, sf_dir)
     key = view.agg(F.max("cnpj_completo")).first()[0]
-    return S.lookup(view, f"{key[:2]}.{key[2:5]}.{key[5:8]}/{key[8:12]}-{key[12:]}")
+    return S.lookup(view, f"{key[:2]}.{key[2:5]}.{key[5:8]}/{key[8:-2]}-{key[-2:]}", len(key))
 
 
 @query(
