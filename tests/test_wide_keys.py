@@ -20,7 +20,7 @@ def wide_dir(sf_dir, tmp_path_factory):
 
 @pytest.mark.parametrize(
     "name",
-    ["lookup_full", "served_lookup_full", "bulk_lookup", "served_branches"],
+    ["lookup_full", "merge_changed_buckets", "monthly_load", "monthly_load_events", "served_lookup_full", "stream_merge", "unknown_table", "bulk_lookup", "served_branches"],
 )
 def test_query_equals_sql(spark, wide_dir, name):
     good, text = compare(spark, connect(wide_dir), wide_dir, name)

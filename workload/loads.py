@@ -39,7 +39,7 @@ def monthly_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first drop from raw files to the serving table."""
     sources = _raw_drop(spark, sf_dir, roles.registry_tables(spark, sf_dir))
     root = work_dir(spark, "registry")
-    monthly.run_load(spark, root, "", monthly.Options(OLD_KEY, OLD_STAMP), sources=sources)
+    monthly.run_load(spark, root, "", monthly.Options(OLD_KEY, OLD_STAMP, layouts=roles.ROLE_LAYOUTS), sources=sources)
     return dated(monthly.serving_rows(TableFolder(spark, root)), "updated_at")
 
 
@@ -58,7 +58,7 @@ def monthly_load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = _raw_drop(spark, sf_dir, roles.registry_tables(spark, sf_dir))
     root = work_dir(spark, "registry")
     for _ in range(2):
-        monthly.run_load(spark, root, "", monthly.Options(OLD_KEY, OLD_STAMP), sources=sources)
+        monthly.run_load(spark, root, "", monthly.Options(OLD_KEY, OLD_STAMP, layouts=roles.ROLE_LAYOUTS), sources=sources)
     steps = step_rollup(RunEvents(spark, f"{root}/run_events").read())
     loaded = spark.read.schema(monthly.LOAD_SCHEMA).json(f"{root}/metrics/load/run_key={OLD_KEY}")
     tables = loaded.filter(F.col("table").isin("empresas", "estabelecimentos", "simples"))
@@ -75,7 +75,7 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     main, staging = roles.branch_snapshots(spark, sf_dir)
     drops = work_dir(spark, "drops")
     notes, root = f"{drops}/notes", work_dir(spark, "registry")
-    layouts = {ESTABELECIMENTOS.name: ESTABELECIMENTOS}
+    layouts = {ESTABELECIMENTOS.name: roles.BRANCHES}
     folder = TableFolder(spark, root)
 
     def handle(run_key: str, raw: str) -> None:
@@ -114,7 +114,7 @@ def merge_changed_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     few = F.col("cnpj_basico").cast("bigint") % 40 == 3
     state = F.col("situacao_cadastral")
     staging = main.filter(~(few & (state == "P"))).withColumn("situacao_cadastral", F.when(few & (state == "O"), "F").otherwise(state))
-    folder, layouts = TableFolder(spark, work_dir(spark, "registry")), {ESTABELECIMENTOS.name: ESTABELECIMENTOS}
+    folder, layouts = TableFolder(spark, work_dir(spark, "registry")), {ESTABELECIMENTOS.name: roles.BRANCHES}
     for run_key, stamp, df in ((OLD_KEY, OLD_STAMP, main), (NEW_KEY, NEW_STAMP, staging)):
         options = monthly.Options(run_key, stamp, layouts=layouts)
         sources = _raw_drop(spark, sf_dir, {ESTABELECIMENTOS.name: df})
@@ -144,7 +144,7 @@ def dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dry run stops after cleaning: it counts rows and publishes nothing."""
     sources = _raw_drop(spark, sf_dir, {"estabelecimentos": roles.estabelecimentos(table(spark, sf_dir, "orders"))})
     root = work_dir(spark, "registry")
-    monthly.run_load(spark, root, "", monthly.Options(OLD_KEY, OLD_STAMP), sources=sources, dry_run=True)
+    monthly.run_load(spark, root, "", monthly.Options(OLD_KEY, OLD_STAMP, layouts=roles.ROLE_LAYOUTS), sources=sources, dry_run=True)
     counted = spark.read.schema(monthly.METRIC_SCHEMA).json(f"{root}/metrics/transform/run_key={OLD_KEY}").filter("files > 0")
     published = len(TableFolder(spark, root).current_versions())
     return counted.select("table", "rows", "skipped_invalid_required", F.lit(published).alias("published"))
@@ -157,7 +157,7 @@ def dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 def unknown_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names of no table are passed over; the others are loaded."""
     sources = _raw_drop(spark, sf_dir, {"estabelecimentos": roles.estabelecimentos(table(spark, sf_dir, "orders"))})
-    folder, options = TableFolder(spark, work_dir(spark, "registry")), monthly.Options(OLD_KEY, OLD_STAMP)
+    folder, options = TableFolder(spark, work_dir(spark, "registry")), monthly.Options(OLD_KEY, OLD_STAMP, layouts=roles.ROLE_LAYOUTS)
     monthly.transform(spark, folder, sources, options)
     return monthly.load(spark, folder, options, ["nonsense", "estabelecimentos", "Empresas "]).select("table", "inserted")
 
