@@ -24,53 +24,80 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: An arrival has a path; a list of a month's files has no path and names them as ``expected``.
 ARRIVAL_SCHEMA = "run_key string, name string, path string, length bigint, expected array<struct<name: string, length: bigint>>, at timestamp"
 RELEASED_SCHEMA = "run_key string, files array<struct<name: string, path: string, length: bigint>>, bytes bigint, arrivals bigint"
+#: Groups that months are put in; a group is one state entry.
+BUCKETS = 1024
+_FILES = "array<struct<name: string, path: string, length: bigint>>"
+_FLAT_SCHEMA = "run_key string, files string, bytes bigint, arrivals bigint"
 _STATE = "state string"
 
 
-def _assemble(state: dict, rows: Iterator[pd.DataFrame]) -> dict | None:
-    """Take the rows into the state; the released month, if it is complete now."""
-    for batch in rows:
-        for name, path, length, expected, at in zip(batch["name"], batch["path"], batch["length"], batch["expected"], batch["micros"]):
-            if path is None:
-                wanted = {e["name"]: None if pd.isna(e["length"]) else int(e["length"]) for e in expected}
-                if at >= state["listed_at"]:
-                    state["expected"], state["listed_at"] = wanted, at
-            else:
-                state["arrivals"] += 1
-                known = state["files"].get(name)
-                if known is None or at >= known[2]:
-                    state["files"][name] = [path, None if pd.isna(length) else int(length), at]
-    wanted, files = state["expected"], state["files"]
+def _take(month: dict, name, path, length, expected, at: int) -> None:
+    """Take one arrival, or one list, into the state of its month."""
+    if path is None:
+        if at >= month["listed_at"]:
+            month["expected"], month["listed_at"] = {e["name"]: e.get("length") for e in json.loads(expected)}, at
+        return
+    month["arrivals"] += 1
+    known = month["files"].get(name)
+    if known is None or at >= known[2]:
+        month["files"][name] = [path, None if pd.isna(length) else int(length), at]
+
+
+def _released(month: dict) -> dict | None:
+    """The files of the month, if it is complete now and was not released for this list."""
+    wanted, files = month["expected"], month["files"]
     if wanted is None:
         return None
     digest = hashlib.sha256(json.dumps(sorted(wanted.items())).encode()).hexdigest()
     complete = all(n in files and size in (None, files[n][1]) for n, size in wanted.items())
-    if not wanted or not complete or state["released"] == digest:
+    if not wanted or not complete or month["released"] == digest:
         return None
-    state["released"] = digest
+    month["released"] = digest
     return {n: files[n] for n in sorted(wanted)}
 
 
-def complete_months(arrivals: DataFrame, keep: str = "60 days") -> DataFrame:
-    """(run_key, files, bytes, arrivals) of every month as its last file comes in. ``arrivals`` is a stream of :data:`ARRIVAL_SCHEMA`."""
+def complete_months(arrivals: DataFrame, keep: str = "60 days", buckets: int = BUCKETS) -> DataFrame:
+    """(run_key, files, bytes, arrivals) of every month as its last file comes in. ``arrivals`` is a stream of :data:`ARRIVAL_SCHEMA`.
+
+    A call into Python costs some milliseconds, so months share one by their bucket; each keeps a state and an end of its own. The number of
+    buckets may not change while a stream lives.
+    """
     keep_ms = pd.Timedelta(keep) // pd.Timedelta("1ms")
 
+    def until(month: dict) -> int:
+        return max([month["listed_at"], *(f[2] for f in month["files"].values())]) // 1000 + keep_ms
+
     def step(key, rows, state):
-        if state.hasTimedOut:
+        months, touched = json.loads(state.get[0]) if state.exists else {}, set()
+        if not state.hasTimedOut:
+            for batch in rows:
+                for run_key, *rest in zip(*(batch[c] for c in ("run_key", "name", "path", "length", "expected", "micros"))):
+                    if run_key not in months:
+                        months[run_key] = {"expected": None, "listed_at": -(1 << 62), "files": {}, "arrivals": 0, "released": None}
+                    _take(months[run_key], *rest)
+                    touched.add(run_key)
+        done = [(k, files) for k in sorted(touched) if (files := _released(months[k]))]
+        out = [(k, [{"name": n, "path": f[0], "length": f[1]} for n, f in files.items()], months[k]["arrivals"]) for k, files in done]
+        mark = state.getCurrentWatermarkMs()
+        months = {k: m for k, m in months.items() if k in touched or until(m) > mark}
+        if months:
+            state.update((json.dumps(months),))
+            state.setTimeoutTimestamp(max(min(until(m) for m in months.values()), mark + 1))
+        else:
             state.remove()
-            return
-        now = json.loads(state.get[0]) if state.exists else {"expected": None, "listed_at": -(1 << 62), "files": {}, "arrivals": 0, "released": None}
-        done = _assemble(now, rows)
-        state.update((json.dumps(now),))
-        latest = max([now["listed_at"], *(f[2] for f in now["files"].values())])
-        state.setTimeoutTimestamp(max(latest // 1000 + keep_ms, state.getCurrentWatermarkMs() + 1))
-        if done:
-            files = [{"name": n, "path": f[0], "length": f[1]} for n, f in done.items()]
-            yield pd.DataFrame({"run_key": [key[0]], "files": [files], "bytes": [sum(f["length"] or 0 for f in files)], "arrivals": [now["arrivals"]]})
-
-    # The marks are short: what is known of a month crosses the shuffle once.
-    marked = arrivals.withWatermark("at", keep).filter("run_key IS NOT NULL AND at IS NOT NULL").withColumn("micros", F.unix_micros("at"))
-    return marked.groupBy("run_key").applyInPandasWithState(step, RELEASED_SCHEMA, _STATE, "append", "EventTimeTimeout")
+        if out:
+            yield pd.DataFrame({
+                "run_key": [k for k, _, _ in out], "files": [json.dumps(files) for _, files, _ in out],
+                "bytes": [sum(f["length"] or 0 for f in files) for _, files, _ in out], "arrivals": [n for *_, n in out],
+            })
+
+    # The marks are short: what is known of a month crosses the shuffle once. Lists go to and from Python as text.
+    marked = arrivals.withWatermark("at", keep).filter("run_key IS NOT NULL AND at IS NOT NULL")
+    flat = marked.select(
+        F.pmod(F.xxhash64("run_key"), F.lit(buckets)).alias("bucket"), "run_key", "name", "path", "length", F.to_json("expected").alias("expected"), "at", F.unix_micros("at").alias("micros"),
+    )
+    released = flat.groupBy("bucket").applyInPandasWithState(step, _FLAT_SCHEMA, _STATE, "append", "EventTimeTimeout")
+    return released.withColumn("files", F.from_json("files", _FILES))
 
 
 def watch_arrivals(arrivals: DataFrame, checkpoint: str, handle: Callable[[str, list], object], keep: str = "60 days", once: bool = True) -> StreamingQuery:

@@ -63,6 +63,26 @@ def test_months_nothing_is_heard_of_leave_the_state(spark, tmp_path):
     assert seen == [] and progress[-1]["stateOperators"][0]["numRowsTotal"] == 1
 
 
+def test_months_that_share_a_state_entry_keep_their_own(spark, tmp_path):
+    steps, seen = Steps(spark, tmp_path, A.ARRIVAL_SCHEMA), []
+
+    def run(stream):
+        months = A.complete_months(stream, "2 days", buckets=1)
+        batch = lambda df, _: seen.extend((r["run_key"], r["bytes"], r["arrivals"]) for r in df.collect())
+        return months.writeStream.foreachBatch(batch).option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start()
+
+    steps.add([listing("a", 1, x=1), listing("b", 1, x=2), file("b", "x", 2, 1), listing("c", 1, x=3)], run)
+    assert seen == [("b", 2, 1)]
+    steps.add([file("a", "x", 1, 2), listing("d", 20, y=4)], run)
+    assert seen == [("b", 2, 1), ("a", 1, 1)]
+    query = steps.add([file("d", "y", 4, 21)], run)
+    assert seen == [("b", 2, 1), ("a", 1, 1), ("d", 4, 1)]
+    state = query.recentProgress[-1].stateOperators[0]
+    assert state.numRowsTotal == 1
+    states = spark.read.format("statestore").load(str(tmp_path / "checkpoint")).select("value.*").toJSON().collect()
+    assert len(states) == 1 and '\\"d\\"' in states[0] and not any(f'\\"{k}\\":' in states[0] for k in "abc")
+
+
 def event(job, step, status, day, seq, error=None):
     return (job, "2026-03", step, status, datetime(2026, 3, day), error, f"out/{seq}", seq)
 
