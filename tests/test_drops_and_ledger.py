@@ -1,3 +1,5 @@
+import io
+import zipfile
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -5,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rollbook.functions.status import final_status
 from rollbook.operators import drops as D, ledger as L
-from rollbook.sources import listings
+from rollbook.sources import archives, listings
 from rollbook.sources.run_events import RunEvents
 from rollbook.sources.tables import TableFolder, replace_partitions
 from rollbook.streaming.status import keep_latest, latest_rows, live_rollup
@@ -16,6 +18,19 @@ def names(spark, values):
     return spark.createDataFrame([(v,) for v in values], "name string")
 
 
+def test_archives_held_as_bytes_are_read_to_their_end(spark):
+    whole = io.BytesIO()
+    with zipfile.ZipFile(whole, "w") as archive:
+        archive.writestr("a.csv", b"some text that is long enough")
+    good = whole.getvalue()
+    held = [("good", good), ("cut", good[:-30]), ("changed", good.replace(b"long", b"LONG")), ("empty", b"")]
+    got = archives.read_contents(spark.createDataFrame(held, "path string, content binary"))
+    assert {r["path"]: (r["problem"], r["detail"]) for r in got.collect() if r["path"] != "cut"} == {
+        "good": (None, None), "changed": ("damaged member", "a.csv"), "empty": ("no bytes", None),
+    }
+    assert got.filter("path = 'cut'").first()["problem"] == "not readable"
+
+
 def test_months_and_folders(spark):
     files = names(spark, ["Empresas_2026-01.zip", "x202602.zip", "2025_12", "none.zip"])
     assert rows(D.months(files)) == {("2026-01",), ("2026-02",), ("2025-12",)}
