@@ -1,6 +1,6 @@
 """Run status from the event stream, in a state that finished jobs leave.
 
-The state has one entry per live job, with one short record per step. A job is finished when its ``finish_step`` ended well or for good;
+The state has one short record per step of each live job, and jobs share entries by their bucket. A job is finished when its ``finish_step`` ended well or for good;
 ``keep`` after its last event it leaves the state, as does, ``idle`` after it, a job that never ended. Events
 more than ``late`` behind the newest one are dropped (Spark counts them). A job that is heard of again after it left begins a new
 generation; :func:`whole_rollup` adds generations up, so the report is that of all events, however often a job left.
@@ -30,6 +30,10 @@ _FIELDS = [f.split()[0] for f in _SIDE.split(", ")]
 _ENDED = (SUCCESS, DEAD, SKIPPED)
 
 
+#: Groups that jobs are put in; a group is one state entry. The number may not change while a stream lives.
+BUCKETS = 1024
+
+
 def _or(a, b, choose):
     return b if a is None else a if b is None else choose(a, b)
 
@@ -84,30 +88,44 @@ def partials(events: DataFrame, order: Sequence[str] = ("ts", "seq")) -> DataFra
 
 
 def live_jobs(
-    events: DataFrame, finish_step: str = WHOLE_RUN, keep: str = "1 day", idle: str = "30 days", late: str = "1 hour", order: Sequence[str] = ("ts", "seq")
+    events: DataFrame, finish_step: str = WHOLE_RUN, keep: str = "1 day", idle: str = "30 days", late: str = "1 hour", order: Sequence[str] = ("ts", "seq"),
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """The records of steps that changed, of each micro-batch. ``events`` is a stream of run events."""
     keep_ms, idle_ms = (pd.Timedelta(x) // pd.Timedelta("1ms") for x in (keep, idle))
 
+    def until(steps: dict) -> int:
+        ended = finish_step in steps and steps[finish_step]["status"] in _ENDED
+        return max(r["newest"] for r in steps.values()) // 1000 + (keep_ms if ended else idle_ms)
+
     def step(key, rows, state):
-        if state.hasTimedOut:
+        known, changed = json.loads(state.get[0]) if state.exists else {}, {}
+        if not state.hasTimedOut:
+            for batch in rows:
+                for job, name, record in _records(batch.astype(object).where(batch.notna(), None)):
+                    steps = known.setdefault(job, {"steps": {}, "generation": None})["steps"]
+                    steps[name] = combined(steps.get(name), record)
+                    changed.setdefault(job, set()).add(name)
+        for job in changed:
+            if known[job]["generation"] is None:
+                known[job]["generation"] = min(r["first_seq"] for r in known[job]["steps"].values())
+        out = [(job, name, known[job]["generation"], known[job]["steps"][name]) for job in sorted(changed) for name in sorted(changed[job])]
+        mark = state.getCurrentWatermarkMs()
+        known = {j: k for j, k in known.items() if j in changed or until(k["steps"]) >= mark}
+        if known:
+            state.update((json.dumps(known),))
+            state.setTimeoutTimestamp(max(min(until(k["steps"]) for k in known.values()), mark + 1))
+        else:
             state.remove()
-            return
-        now = json.loads(state.get[0]) if state.exists else {}
-        changed = set()
-        for batch in rows:
-            for _, name, record in _records(batch.astype(object).where(batch.notna(), None)):
-                now[name] = combined(now.get(name), record)
-                changed.add(name)
-        generation = min(r["first_seq"] for r in now.values()) if not state.exists else json.loads(state.get[1])
-        state.update((json.dumps(now), json.dumps(generation)))
-        ended = finish_step in now and now[finish_step]["status"] in _ENDED
-        last = max(r["newest"] for r in now.values()) // 1000
-        state.setTimeoutTimestamp(max(last + (keep_ms if ended else idle_ms), state.getCurrentWatermarkMs() + 1))
-        names = sorted(changed)
-        yield pd.DataFrame({"job_id": [key[0]] * len(names), "step_name": names, "generation": generation, **{f: pd.Series([now[n][f] for n in names], dtype=object) for f in _FIELDS}})
-
-    return partials(events, order).withWatermark("at", late).groupBy("job_id").applyInPandasWithState(step, ROLLUP_SCHEMA, "steps string, generation string", "update", "EventTimeTimeout")
+        if out:
+            yield pd.DataFrame({
+                "job_id": [o[0] for o in out], "step_name": [o[1] for o in out], "generation": [o[2] for o in out],
+                **{f: pd.Series([o[3][f] for o in out], dtype=object) for f in _FIELDS},
+            })
+
+    # A call into Python costs some milliseconds: jobs share a state entry by their bucket.
+    placed = partials(events, order).withWatermark("at", late).withColumn("bucket", F.pmod(F.xxhash64("job_id"), F.lit(buckets)))
+    return placed.groupBy("bucket").applyInPandasWithState(step, ROLLUP_SCHEMA, "jobs string", "update", "EventTimeTimeout")
 
 
 def whole_rollup(batches: DataFrame) -> DataFrame:

@@ -117,3 +117,15 @@ def test_many_events_of_a_job_are_one_record(spark):
     found = J.partials(events).collect()
     assert len(found) == 1 and (found[0]["writes"], found[0]["runs"]) == (3000, 1500)
     assert J.partials(events.limit(0)).count() == 0
+
+
+def test_jobs_share_a_state_entry(spark, tmp_path):
+    steps = Steps(spark, tmp_path, EVENT_SCHEMA)
+
+    def run(stream):
+        return keep_latest(J.live_jobs(stream, buckets=1), str(tmp_path / "batches"), str(tmp_path / "checkpoint"))
+
+    query = steps.add([event(f"j{k}", "run", "RUNNING", 1, k) for k in range(5)], run)
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 1
+    report = J.whole_rollup(spark.read.parquet(str(tmp_path / "batches")))
+    assert sorted(r["job_id"] for r in report.collect()) == [f"j{k}" for k in range(5)]
