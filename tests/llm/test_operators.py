@@ -395,6 +395,34 @@ def test_rows_that_share_an_id_or_have_none_are_compared(spark):
     assert [x[3] - x[2] for x in found] == [50, 50, 60] and all(x[6] == 1.0 for x in found)
 
 
+def test_passages_of_every_two_texts_are_found(spark):
+    """Their seeds stand in earlier documents one by one, and their passage in a first document that has another link to each."""
+    base = fresh("t", 60)
+    two, three, four = ([f"e{k}" if j % 10 == k else w for j, w in enumerate(base)] for k in (1, 4, 7))
+    texts = [base, two, three, four]
+    rows = [(k + 1, [*fresh(f"a{k}", 30), *text, *fresh(f"b{k}", 30)]) for k, text in enumerate(texts)]
+    assert {x[:2] for x in passages_of(spark, *rows)} == {(j, k) for j in range(1, 5) for k in range(1, j)}
+    # each run of 9 equal words stands in an early document, no two of them in the same
+    text = fresh("u", 60)
+    changed = [f"n{j}" if j % 10 == 9 else w for j, w in enumerate(text)]
+    parts = [(k, [*fresh(f"c{k}", 40), *text[10 * k : 10 * k + 9], *fresh(f"d{k}", 40)]) for k in range(6)]
+    assert {x[:2] for x in passages_of(spark, *parts, (21, text), (22, [*fresh("e", 30), *changed, *fresh("f", 30)]))} == {(22, 21)}
+    # a copy leads to the first of its kind, which has the other links
+    assert {x[:2] for x in passages_of(spark, *rows, (9, rows[1][1]))} == {(j, k) for j in range(1, 5) for k in range(1, j)} | {(9, 2)}
+
+
+def test_dense_seeds_hold_for_every_passage():
+    for _ in range(300):
+        n = int(RANDOM.integers(40, 120))
+        edits = np.sort(RANDOM.choice(n, n // 5, replace=False))
+        if RANDOM.random() < 0.5:
+            edits = np.unique(np.clip(np.arange(n // 5) * 5 + RANDOM.integers(0, 5), 0, n - 1))
+        at = np.array([a for a in range(n - 3) if not ((edits >= a) & (edits < a + 4)).any()], np.int64)
+        assert passages.dense(at, np.zeros(len(at), np.int64)).any()
+    for at in ([0, 1, 2, 60, 61, 62], [0, 1, 2, 3], []):
+        assert not passages.dense(np.array(at, np.int64), np.zeros(len(at), np.int64)).any()
+
+
 def test_passages_of_periodic_texts_are_not_given_for_every_shift(spark):
     found = passages_of(spark, (1, [*fresh("a", 30), *["the"] * 150, *fresh("b", 30)]), (2, [*fresh("c", 20), *["the"] * 400, *fresh("d", 20)]))
     assert set().union(*(range(x[2], x[3]) for x in found)) == set(range(20, 420)) and len(found) < 8
