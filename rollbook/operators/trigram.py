@@ -29,6 +29,17 @@ def build_index(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def build_name_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(field, trigram, rows, name): the pieces of each different name of a field, and how many rows have the name.
+
+    Companies share their names with all their branches, and trade names are few: names are made distinct, combined before the
+    shuffle, and only then cut into pieces.
+    """
+    per_field = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("name")) for c in columns]))
+    names = df.select(per_field.alias("f")).select("f.*").filter("name IS NOT NULL").groupBy("field", "name").agg(F.count("*").alias("rows"))
+    return names.select("field", F.explode(trigrams(F.col("name"))).alias("trigram"), "rows", "name")
+
+
 def write_index(index: DataFrame, path: str) -> None:
     """Write sorted by piece, so that a search reads few row groups.
 
@@ -71,6 +82,25 @@ def search_indexed(
     return df.filter(condition).join(candidates, key, "left_semi")
 
 
+def search_names(df: DataFrame, index: DataFrame, columns: Sequence[str], text: str) -> DataFrame:
+    """:func:`search_indexed` by an index of names: the names that hold every piece are looked up in the columns."""
+    condition = None
+    for c in columns:
+        part = contains_ci(F.col(c), text)
+        condition = part if condition is None else condition | part
+    if not usable(text):
+        return df.filter(condition)
+    lower = text.lower()
+    pieces = sorted({lower[i:i + 3] for i in range(len(lower) - 2)})
+    names = index.filter(F.col("trigram").isin(*pieces)).groupBy("field", "name").agg(F.count("*").alias("n")).filter(F.col("n") == len(pieces))
+    found, hit = df.filter(condition), F.lit(False)
+    for k, c in enumerate(columns):
+        known = names.filter(F.col("field") == c).select(F.col("name").alias(f"__name{k}"))
+        found = found.join(known, F.col(c) == F.col(f"__name{k}"), "left")
+        hit = hit | F.col(f"__name{k}").isNotNull()
+    return found.filter(hit).select(*df.columns)
+
+
 def piece_counts(index: DataFrame) -> DataFrame:
     """(field, trigram, rows): how many rows have a piece. It is kept with the index, so that a search knows its rarest piece."""
     return index.groupBy("field", "trigram").agg(F.count("*").alias("rows"))

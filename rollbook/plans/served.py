@@ -4,7 +4,8 @@ All parts are written under one version and published by one line, so that a rea
 
 * ``serving``: wide rows in folders derived from the base key, sorted by full key, with bloom filters on it. A lookup names its
   folder; base and full keys of a company lie in the same one.
-* ``serving_names``, ``serving_pieces``: posting lists of three-letter pieces of the names, and how long each is.
+* ``serving_names``, ``serving_pieces``: posting lists of three-letter pieces of the different names, and how many rows have each piece.
+* ``serving_name_rows``: the full keys of each name. Names are known by a hash here; a search checks the name itself.
 * ``serving_filters``: the narrow columns that searches filter by, in Z-order of activity, municipality and status, so that a
   filter on any one of them skips row groups.
 * ``serving_places``: the municipality codes with their descriptions, which turn a search by description into one by codes.
@@ -24,6 +25,7 @@ from rollbook.plans.serving import SERVING_COLUMNS
 from rollbook.sources.tables import TableFolder
 
 SERVING, NAMES, PIECES, FILTERS, PLACES = "serving", "serving_names", "serving_pieces", "serving_filters", "serving_places"
+NAME_ROWS = "serving_name_rows"
 KEY = "cnpj_completo"
 NAME_COLUMNS = ("razao_social", "nome_fantasia")
 Z_COLUMNS = ("cnae_fiscal", "municipio", "situacao_cadastral")
@@ -58,16 +60,19 @@ def write_served(folder: TableFolder, version: str, wide: DataFrame, group_bytes
     """Write all parts; returns the version by part, for :meth:`TableFolder.publish`."""
     bloom = {f"parquet.bloom.filter.enabled#{KEY}": "true"}
     rows = folder.write(SERVING, version, by_key(wide), ["key_part"], bloom)
-    index = trigram.build_index(rows.select(KEY, *NAME_COLUMNS), KEY, NAME_COLUMNS)
-    order = ["field", "trigram", KEY]
+    index = trigram.build_name_index(rows.select(*NAME_COLUMNS), NAME_COLUMNS)
+    order = ["field", "trigram", "name"]
+    index = index.withColumn("name", F.xxhash64("name"))
     index = folder.write(NAMES, version, index.repartitionByRange(*order).sortWithinPartitions(*order))
+    keys = rows.select(F.explode(F.array_distinct(F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.xxhash64(c)) for c in NAME_COLUMNS])))).alias("name"), KEY)
+    folder.write(NAME_ROWS, version, keys.repartitionByRange("name", KEY).sortWithinPartitions("name", KEY))
     # The piece "" of the field "" is every row's.
-    counts = trigram.piece_counts(index).unionByName(rows.agg(F.lit("").alias("field"), F.lit("").alias("trigram"), F.count("*").alias("rows")))
+    counts = index.groupBy("field", "trigram").agg(F.sum("rows").alias("rows")).unionByName(rows.agg(F.lit("").alias("field"), F.lit("").alias("trigram"), F.count("*").alias("rows")))
     folder.write(PIECES, version, counts.repartitionByRange("trigram", "field").sortWithinPartitions("trigram", "field"))
     small = {"parquet.block.size": group_bytes, "parquet.page.size": min(group_bytes, 1 << 20)}
     narrow = folder.write(FILTERS, version, z_ordered(rows.select(*FILTER_COLUMNS), Z_COLUMNS, KEY), options=small)
     folder.write(PLACES, version, narrow.select("municipio", "municipio_descricao").distinct().coalesce(1))
-    return dict.fromkeys((SERVING, NAMES, PIECES, FILTERS, PLACES), version)
+    return dict.fromkeys((SERVING, NAMES, NAME_ROWS, PIECES, FILTERS, PLACES), version)
 
 
 SERVING_SCHEMA = T.StructType([T.StructField(c, T.TimestampType() if c == "updated_at" else T.StringType()) for c in SERVING_COLUMNS])
@@ -90,7 +95,8 @@ class Served:
 
         self.placed = folder.read(SERVING, version, T.StructType([*SERVING_SCHEMA.fields, T.StructField("key_part", T.IntegerType())]))
         self.rows = self.placed.select(*SERVING_COLUMNS)
-        self.names = part(NAMES, f"field string, trigram string, {KEY} string")
+        self.names = part(NAMES, "field string, trigram string, rows bigint, name bigint")
+        self.name_rows = part(NAME_ROWS, f"name bigint, {KEY} string")
         self.pieces = part(PIECES, "field string, trigram string, rows bigint")
         self.filters = part(FILTERS, ", ".join(f"{c} string" for c in FILTER_COLUMNS))
         self.places = part(PLACES, "municipio string, municipio_descricao string")
@@ -130,10 +136,16 @@ class Served:
         return found
 
     def _named(self, text: str) -> DataFrame | None:
-        if self.names is None or self.pieces is None:
+        """Keys of rows that may have the text in a name; None where the side tables do not help."""
+        if self.names is None or self.pieces is None or self.name_rows is None:
             return None
         total = self.pieces.filter("trigram = '' AND field = ''").first()["rows"]
-        return trigram.meet(self.names, self.pieces, KEY, NAME_COLUMNS, text, total // SELECTIVE)
+        names = trigram.meet(self.names, self.pieces, "name", NAME_COLUMNS, text, total // SELECTIVE)
+        if names is None:
+            return None
+        few = [r[0] for r in names.limit(MOST_KEYS + 1).collect()]
+        held = self.name_rows.filter(F.col("name").isin(few)) if len(few) <= MOST_KEYS else self.name_rows.join(names, "name", "left_semi")
+        return held.select(KEY).distinct()
 
     def _first_named(self, keys: DataFrame, condition: Column, limit: int) -> list[str]:
         """The first ``limit`` of ``keys`` whose records meet the condition, a bounded number at a time."""

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from rollbook.operators import partners, search as S
+from rollbook.operators import partners, search as S, trigram
 from rollbook.operators.zorder import z_ordered
 from rollbook.plans import served as P
 from rollbook.plans.serving import build_serving
@@ -133,3 +133,15 @@ def test_partners_are_not_shuffled(spark, sf_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     with pytest.raises(S.InvalidKey):
         partners.partners_of(people, regimes, ["7"])
+
+
+def test_posting_lists_grow_with_names_not_rows(served):
+    """A name that many rows have is cut into pieces once; the counts are those of rows."""
+    names = sum(served.rows.select(c).distinct().count() for c in P.NAME_COLUMNS)
+    assert served.names.select("field", "name").distinct().count() == names < served.rows.count()
+    assert served.names.count() == served.names.select("field", "trigram", "name").distinct().count()
+    piece = served.pieces.filter("field = 'razao_social' AND trigram = 'cus'").first()["rows"]
+    assert piece == served.rows.filter("razao_social ILIKE '%cus%'").count()
+    for text in ("R#0000000", "urgent f", "xyzzy", "zz"):
+        found = trigram.search_names(served.rows, trigram.build_name_index(served.rows, P.NAME_COLUMNS), P.NAME_COLUMNS, text)
+        assert rows(found) == rows(served.rows.filter(f"razao_social ILIKE '%{text}%' OR nome_fantasia ILIKE '%{text}%'"))
