@@ -143,8 +143,7 @@ _NAMES = ["razao_social", "nome_fantasia"]
 
 def _pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(path: str) -> None:
-        names = served(spark, sf_dir).select("cnpj_completo", *_NAMES)
-        trigram.write_index(trigram.build_index(names, "cnpj_completo", _NAMES), path)
+        trigram.write_index(trigram.build_name_index(served(spark, sf_dir).select(*_NAMES), _NAMES), path)
 
     return spark.read.parquet(_once("trigrams", spark, sf_dir, write))
 
@@ -155,7 +154,7 @@ def _pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def search_trigram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All hits of a substring search by way of the side table."""
-    return trigram.search_indexed(served(spark, sf_dir), _pieces(spark, sf_dir), "cnpj_completo", _NAMES, "R#0000000")
+    return trigram.search_names(served(spark, sf_dir), _pieces(spark, sf_dir), _NAMES, "R#0000000")
 
 
 @query(
@@ -164,7 +163,7 @@ def search_trigram(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def search_trigram_selective(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Few hits."""
-    return trigram.search_indexed(served(spark, sf_dir), _pieces(spark, sf_dir), "cnpj_completo", _NAMES, "00000123")
+    return trigram.search_names(served(spark, sf_dir), _pieces(spark, sf_dir), _NAMES, "00000123")
 
 
 @query("search_trigram_part", "SELECT * FROM part WHERE p_name ILIKE '%d Pl%' OR p_type ILIKE '%d Pl%'")
