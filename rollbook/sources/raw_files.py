@@ -38,20 +38,21 @@ def raw_profile(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
     A file without an odd line holds no quoted line break, so its lines are its records.
     """
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
     return (
         spark.read.text(list(paths))
         .select(
-            percent_decode(F.col("_metadata.file_path")).alias("path"),
-            (quotes % 2 == 1).alias("odd"),
-            (~F.col("value").rlike(r"[^\x00-\x20]")).alias("blank"),
+            F.col("_metadata.file_path").alias("file"),
+            F.when(F.col("value").contains('"'), quotes % 2 == 1).otherwise(False).alias("odd"),
+            records.is_blank(F.col("value")).alias("blank"),
         )
-        .groupBy("path")
+        .groupBy("file")
         .agg(
             F.count("*").alias("lines"),
             F.count_if("blank").alias("blank_lines"),
             F.count_if("odd").alias("odd_quote_lines"),
         )
+        .select(percent_decode(F.col("file")).alias("path"), "lines", "blank_lines", "odd_quote_lines")
     )
 
 
@@ -73,7 +74,7 @@ def scan_raw(
     """Several headerless part files, or folders of them, as one table of text columns.
 
     Short rows are padded with nulls and long rows cut. Quoted line breaks need the reader of records, which
-    reads a file in ranges too, but sorts the lines of each. ``multi_line`` says where to use it: everywhere, nowhere, or by file
+    reads a file in ranges too, but reads it more than once. ``multi_line`` says where to use it: everywhere, nowhere, or by file
     (``files_by_reader``); None looks for those files first.
     """
     if multi_line is None:
@@ -99,7 +100,7 @@ def scan_raw(
 def numbered_rows(spark: SparkSession, paths: Sequence[str], layout: Layout, spans: bool = True, ranges: DataFrame | None = None) -> DataFrame:
     """The rows of headerless files with ``source_path``, the ``record`` and the ``line`` they begin at in it, both from 1.
 
-    ``spans`` False is for files in which no field spans lines (``files_by_reader``): their lines need not be sorted.
+    ``spans`` False is for files in which no field spans lines (``files_by_reader``): their lines are their records.
     ``ranges`` are those of the same files, where they are known.
     """
     lines = records.raw_lines(spark, paths)

@@ -1,24 +1,31 @@
 r"""Records of delimited files, read in ranges even where quoted fields span lines, and numbered.
 
 Whether a line begins inside a quoted field depends on all lines before it, but only as one of two states. So every line is a small
-function: the state after it if it begins outside a quoted field, and if it begins inside one. Within a range of a
-file these functions are composed by windows over the lines; the ranges of a file, of which there are few, by a second window over
-one short row each. Then every range knows in which state it begins, how many records and lines lie before it, and all ranges
-are parsed at once. Only lines of records that do span lines are grouped, by record.
+function: the state after it if it begins outside a quoted field, and if it begins inside one. A range of a
+file is read in order by one task, which composes these functions along it; the ranges of a file, of which there are few, are
+composed by a window over one short row each. Then every range knows in which state it begins, how many records and lines lie before it, and all
+ranges are parsed at once, each record put together where its lines are read. Only lines of records that go over a range's end meet by a shuffle.
 
 Lines end at ``\n``; a carriage return before it is dropped at the end of a record and kept inside a quoted field.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from rollbook.functions.text import percent_decode
 from rollbook.session import work_dir
 
+# The functions below travel with the tasks, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Lines that a record may have in ranges where no other record begins: beyond it a quote was left open by mistake.
 MAX_LINES = 100_000
@@ -64,80 +71,131 @@ RAW, HEADERED = Form(";", "ISO-8859-1"), Form(",", "UTF-8")
 
 
 def raw_lines(spark: SparkSession, paths: Sequence[str], form: Form = RAW) -> DataFrame:
-    """(path, block, at, text, range): lines with the range of the file they begin in; ``at`` grows by one along a range. ``range`` is the
-    range as one number, which is sorted and compared faster than a path."""
+    """(file, block, at, text): lines with the range of the file they begin in, in order; ``at`` grows by one along a range.
+
+    ``file`` is the path as Spark writes it: it is decoded once a range, not once a line.
+    """
     value = F.col("value")
     text = value if form.encoding == "UTF-8" else F.decode(value.cast("binary"), form.encoding)
     return spark.read.option("lineSep", "\n").text(list(paths)).select(
-        percent_decode(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"), text.alias("text"),
-    ).withColumn("range", F.xxhash64("path", "block"))
+    )
+
+
+_RANGE = ["file", "block"]
+_BLANKS = "".join(map(chr, range(33)))
 
 
-_RANGE = ["path", "block"]
+def is_blank(text: Column) -> Column:
+    return F.ltrim(text, F.lit(_BLANKS)) == ""
 
 
-def _is_blank(text: Column) -> Column:
-    return ~text.rlike(r"[^\x00-\x20]")
+def _without_return(text: Column) -> Column:
+    return F.when(text.endswith("\r"), F.left(text, F.length(text) - 1)).otherwise(text)
 
 
 def _functions(lines: DataFrame, form: Form) -> DataFrame:
     """``lines`` with the state each ends in if it begins outside a quoted field (``opens``) or inside one (``stays``)."""
     quoted = F.col("text").contains('"')
+    # The pattern is tried where a field begins with a quote: without one, none is opened.
+    first = F.col("text").startswith('"') | F.col("text").contains(f'{form.sep}"')
     return lines.withColumns({
-        "opens": F.when(quoted, F.col("text").rlike(form.open_end)).otherwise(False),
+        "opens": F.when(first, F.col("text").rlike(form.open_end)).otherwise(False),
         "stays": F.when(quoted, F.col("text").rlike(form.stays_open)).otherwise(True),
     })
 
 
-def _states(lines: DataFrame) -> DataFrame:
-    """Each line with what the lines up to it, and those before it, make of the state at the range's begin.
+def _states(opens: np.ndarray, stays: np.ndarray, begin: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each line begins, and ends, inside a quoted field, if the first of them begins as ``begin`` says.
 
-    ``flips`` counts lines that turn the state round; ``fixed`` is the state that the last line which
-    ends in one state whatever it began in leaves, turned back by the flips so far: the state is (fixed or begin) + flips, modulo 2.
+    The last line that ends in one state whatever it began in settles it; each line since that turns the state round counts.
     """
-    along = Window.partitionBy("range").orderBy("at")
-    upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    lines = lines.withColumn("flips", F.sum((F.col("opens") & ~F.col("stays")).cast("int")).over(upto))
-    settled = F.when(F.col("opens") == F.col("stays"), (F.col("opens").cast("int") + F.col("flips")) % 2)
-    lines = lines.withColumn("fixed", F.last(settled, ignorenulls=True).over(upto)).drop("opens", "stays")
-    return lines.withColumns({"flips_before": F.lag("flips", 1, 0).over(along), "fixed_before": F.lag("fixed").over(along)})
+    flips = np.cumsum(opens & ~stays) % 2 == 1
+    last = np.maximum.accumulate(np.where(opens == stays, np.arange(len(opens)), -1))
+    after = np.where(last >= 0, opens[last] ^ flips[last], begin) ^ flips
+    return np.concatenate(([begin], after[:-1])), after
 
 
-def _inside(fixed: str, flips: str, begin: Column) -> Column:
-    return (F.coalesce(F.col(fixed), begin) + F.col(flips)) % 2 == 1
+def _stretches(*columns: np.ndarray) -> Iterator[tuple[int, int]]:
+    """First and end of each stretch of rows that are alike in ``columns``."""
+    size = len(columns[0])
+    new = np.zeros(max(size - 1, 0), bool)
+    for column in columns:
+        new |= column[1:] != column[:-1]
+    cuts = [0, *(np.flatnonzero(new) + 1).tolist(), size]
+    return zip(cuts[:-1], cuts[1:]) if size else iter(())
+
+
+_COUNTS = ("records", "blank", "end", "head", "tail")
+_COUNTED = "file string, block bigint, first_at bigint, lines bigint, " + ", ".join(f"{c}_{k} bigint" for k in (0, 1) for c in _COUNTS)
+
+
+def _count_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per range with what it holds if it begins outside (``_0``) or inside a quoted field (``_1``).
+
+    ``head`` lines belong to a record that began before it, those from line ``tail`` on to one that goes on after it.
+    """
+    now: dict | None = None
+
+    def row() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([{**now["range"], **{f"{c}_{k}": int(now[k][c]) for k in (0, 1) for c in _COUNTS}}], schema=schema)
+
+    kinds = [("file", pa.string()), *((n.split(" ")[0], pa.int64()) for n in _COUNTED.split(", ")[1:])]
+    schema = pa.schema(kinds)
+    for batch in batches:
+        files, block = batch.column(0).dictionary_encode(), batch.column(1).to_numpy()
+        codes = files.indices.to_numpy()
+        blank, opens, stays = (batch.column(k).to_numpy(zero_copy_only=False) for k in (3, 4, 5))
+        for lo, hi in _stretches(codes, block):
+            file, start = files.dictionary[codes[lo]].as_py(), int(block[lo])
+            if now is None or (now["range"]["file"], now["range"]["block"]) != (file, start):
+                if now:
+                    yield row()
+                now = {"range": {"file": file, "block": start, "first_at": batch.column(2)[lo].as_py(), "lines": 0}}
+                now |= {k: {"records": 0, "blank": 0, "end": k, "head": 0, "tail": 0} for k in (0, 1)}
+            before = now["range"]["lines"]
+            for k in (0, 1):
+                inside, after = _states(opens[lo:hi], stays[lo:hi], bool(now[k]["end"]))
+                starts = np.flatnonzero(~inside)
+                if not now[k]["records"]:
+                    now[k]["head"] += int(starts[0]) if len(starts) else hi - lo
+                if len(starts):
+                    now[k]["tail"] = before + int(starts[-1])
+                now[k]["records"] += len(starts)
+                now[k]["blank"] += int(np.count_nonzero(blank[lo:hi] & ~inside))
+                now[k]["end"] = int(after[-1])
+            now["range"]["lines"] += hi - lo
+    if now:
+        yield row()
 
 
 def file_ranges(lines: DataFrame, form: Form = RAW, spans: bool = True) -> DataFrame:
-    """One row per range: state at its begin, lines and records before it in its file, its lines, records and blank lines.
+    """One row per range: state at its begin, lines and records before it in its file, its lines, records and blank lines,
+    the lines at its begin that go on with a record (``head``) and the place from which lines go on after it (``tail``).
 
-    ``spans`` False is for files in which no field spans lines: lines are records and nothing is sorted.
+    ``spans`` False is for files in which no field spans lines: lines are records.
     """
-    blank = _is_blank(F.col("text"))
-    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blank = is_blank(F.col("text"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     sums = {f"{c}_before": F.coalesce(F.sum(c).over(before), F.lit(0)) for c in ("lines", "records")}
+    path = percent_decode(F.col("file")).alias("path")
     if not spans:
         found = lines.groupBy(*_RANGE).agg(F.min("at").alias("first_at"), F.count("*").alias("lines"), F.count_if(blank).alias("blank_lines"))
-        return found.withColumn("records", F.col("lines")).withColumn("begin", F.lit(0)).withColumns(sums)
-    # The text stays behind: what the patterns say of a line is all that crosses the shuffle of this pass.
-    states = _states(_functions(lines, form).select(*_RANGE, "range", "at", blank.alias("blank"), "opens", "stays"))
-    counts = []
-    for begin in (0, 1):
-        starts = ~_inside("fixed_before", "flips_before", F.lit(begin))
-        counts += [F.count_if(starts).alias(f"records_{begin}"), F.count_if(starts & F.col("blank")).alias(f"blank_{begin}")]
-    found = states.groupBy(*_RANGE).agg(
-        F.min("at").alias("first_at"), F.count("*").alias("lines"), F.max_by(F.struct("fixed", "flips"), "at").alias("end"), *counts,
-    )
-    upto = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    settles = F.col("end.fixed").isNotNull()
-    found = found.withColumn("flips", F.sum(F.when(settles, 0).otherwise(F.col("end.flips"))).over(upto))
-    found = found.withColumn("fixed", F.last(F.when(settles, (F.col("end.fixed") + F.col("end.flips") + F.col("flips")) % 2), ignorenulls=True).over(upto))
-    after = _inside("fixed", "flips", F.lit(0)).cast("int")
-    found = found.withColumn("after", after).withColumn("begin", F.coalesce(F.lag("after").over(Window.partitionBy("path").orderBy("block")), F.lit(0)))
-    for name in ("records", "blank"):
+        return found.withColumn("records", F.col("lines")).withColumn("begin", F.lit(0)).withColumns(sums).select("*", path)
+    # The text stays behind, and nothing but a row for each range leaves its task.
+    found = _functions(lines, form).select(*_RANGE, "at", blank.alias("blank"), "opens", "stays").mapInArrow(_count_ranges, _COUNTED)
+    upto = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    settles = F.col("end_0") == F.col("end_1")
+    found = found.withColumn("flips", F.sum(F.when(settles, 0).otherwise(F.col("end_0"))).over(upto))
+    found = found.withColumn("fixed", F.last(F.when(settles, (F.col("end_0") + F.col("flips")) % 2), ignorenulls=True).over(upto))
+    after = (F.coalesce(F.col("fixed"), F.lit(0)) + F.col("flips")) % 2
+    found = found.withColumn("after", after).withColumn("begin", F.coalesce(F.lag("after").over(Window.partitionBy("file").orderBy("block")), F.lit(0)))
+    for name in _COUNTS:
         found = found.withColumn(name, F.when(F.col("begin") == 0, F.col(f"{name}_0")).otherwise(F.col(f"{name}_1")))
+    found = found.withColumn("tail", F.when(F.col("end") == 1, F.col("tail")).otherwise(F.col("lines")))
     found = found.withColumnRenamed("blank", "blank_lines").withColumns(sums)
-    return found.select(*_RANGE, "first_at", "begin", "lines", "records", "blank_lines", "lines_before", "records_before")
+    return found.select(*_RANGE, path, "first_at", "begin", "lines", "records", "blank_lines", "lines_before", "records_before", "head", "tail")
 
 
 def settled_ranges(lines: DataFrame, form: Form = RAW, spans: bool = True) -> DataFrame:
@@ -153,34 +211,70 @@ def settled_ranges(lines: DataFrame, form: Form = RAW, spans: bool = True) -> Da
     return found
 
 
+_WHOLE = "range bigint, record bigint, line bigint, text string"
+
+
+def _whole_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records that begin and end in their range, put together from its lines; record and line count from 1 in the range.
+
+    Lines before the first record of the range, and those of one that does not end in it, are left out.
+    """
+    part, inside, lines, count, held, first = None, False, 0, 0, [], 0
+    for batch in batches:
+        ranges, begin, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).cast(pa.string())
+        opens, stays = (batch.column(k).to_numpy(zero_copy_only=False) for k in (3, 4))
+        for lo, hi in _stretches(ranges):
+            if ranges[lo] != part:
+                part, inside, lines, count, held = ranges[lo], bool(begin[lo]), 0, 0, []
+            before, after = _states(opens[lo:hi], stays[lo:hi], inside)
+            starts, inside = np.flatnonzero(~before), bool(after[-1])
+            ends = np.append(starts[1:], hi - lo) if len(starts) else starts
+            numbers, at, found = count + 1 + np.arange(len(starts)), lines + 1 + starts, []
+            # What an earlier batch began goes on up to the first record that begins here.
+            upto = int(starts[0]) if len(starts) else hi - lo
+            if held and upto:
+                held.append(texts.slice(lo, upto))
+            if held and (len(starts) or not inside):
+                found.append((pa.array([count]), pa.array([first]), pa.array(["\n".join(t for piece in held for t in piece.to_pylist())])))
+                held = []
+            if len(starts) and inside:
+                held, first = [texts.slice(lo + int(starts[-1]), hi - lo - int(starts[-1]))], int(at[-1])
+                starts, ends, numbers, at = starts[:-1], ends[:-1], numbers[:-1], at[:-1]
+                count += 1
+            count += len(starts)
+            lines += hi - lo
+            if len(starts):
+                offsets = pa.array(np.append(starts, ends[-1]), pa.int32())
+                pieces = pa.ListArray.from_arrays(offsets, texts.slice(lo, hi - lo))
+                joined = texts.slice(lo + int(starts[0]), len(starts)) if len(starts) == ends[-1] - starts[0] else pc.binary_join(pieces, "\n")
+                found.append((pa.array(numbers), pa.array(at), joined))
+            for number, line, text in found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(number), part)), number, line, text], names=["range", "record", "line", "text"])
+
+
 def records(lines: DataFrame, ranges: DataFrame, form: Form = RAW, spans: bool = True) -> DataFrame:
     """(path, record, line, text) of every record that is not a blank line; records and lines count from 1 in their file.
 
-    Blank lines have numbers, too. ``line`` is the record's first.
+    Blank lines have numbers, too. ``line`` is the record's first. The ranges, one short row for each split of a file, are broadcast, so that
+    lines reach their task in the order they are read.
     """
     number = F.col("at") - F.col("first_at") + F.col("lines_before") + 1
     if not spans:
-        found = lines.join(ranges, _RANGE).filter(~_is_blank(F.col("text")))
-        return found.select("path", number.alias("record"), number.alias("line"), F.regexp_replace("text", r"\r$", "").alias("text"))
-    # Nothing but numbers goes with the text: what is known of a range, its path too, is joined when the states are.
-    found = _states(_functions(lines, form).select("range", "at", "text", "opens", "stays"))
-    known = ranges.select(F.xxhash64(*_RANGE).alias("range"), "path", "first_at", "begin", "lines_before", "records_before")
-    found = found.join(known, "range")
-    begins, ends = ~_inside("fixed_before", "flips_before", F.col("begin")), ~_inside("fixed", "flips", F.col("begin"))
-    found = found.select("path", "range", "at", "text", "records_before", number.alias("line"), begins.alias("begins"), ends.alias("ends"))
-    upto = Window.partitionBy("range").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = found.withColumn("record", F.sum(F.col("begins").cast("long")).over(upto) + F.col("records_before"))
-    single = found.filter("begins AND ends").filter(~_is_blank(F.col("text"))).select("path", "record", "line", "text")
-
-    def put_together(rows: DataFrame, *by: str) -> DataFrame:
-        pieces = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda p: p["text"]), "\n")
-        return rows.groupBy(*by, "path", "record").agg(F.min("line").alias("line"), pieces.alias("text"), F.bool_or("begins").alias("begins"), F.bool_or("ends").alias("ends"))
-
-    # Within its range a record's lines are together already; only those over a range's end meet by a shuffle, one row of each range.
-    inner = put_together(found.filter("NOT (begins AND ends)"), "range").drop("range")
-    over = put_together(inner.filter("NOT (begins AND ends)"))
-    spanning = inner.filter("begins AND ends").unionByName(over).select("path", "record", "line", "text")
-    return single.unionByName(spanning).withColumn("text", F.regexp_replace("text", r"\r\z", ""))
+        found = lines.join(ranges, _RANGE).filter(~is_blank(F.col("text")))
+        return found.select("path", number.alias("record"), number.alias("line"), _without_return(F.col("text")).alias("text"))
+    known = F.broadcast(ranges.withColumn("range", F.xxhash64(*_RANGE)))
+    # Nothing but a number and the state goes with the text: what else is known of a range is joined to its records.
+    begun = _functions(lines, form).withColumn("range", F.xxhash64(*_RANGE)).join(known.select("range", "begin"), "range")
+    whole = begun.select("range", "begin", "text", "opens", "stays").mapInArrow(_whole_records, _WHOLE).filter(~is_blank(F.col("text")))
+    whole = whole.join(known.select("range", "path", "lines_before", "records_before"), "range").select(
+        "path", (F.col("record") + F.col("records_before")).alias("record"), (F.col("line") + F.col("lines_before")).alias("line"), "text"
+    )
+    place = F.col("at") - F.col("first_at")
+    over = lines.join(known.drop("range"), _RANGE).filter((place < F.col("head")) | (place >= F.col("tail")))
+    record = F.col("records_before") + F.when(place < F.col("head"), 0).otherwise(F.col("records"))
+    pieces = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda p: p["text"]), "\n")
+    over = over.select("path", record.alias("record"), number.alias("line"), "text").groupBy("path", "record").agg(F.min("line").alias("line"), pieces.alias("text"))
+    return whole.unionByName(over.select("path", "record", "line", "text")).withColumn("text", _without_return(F.col("text")))
 
 
 def parsed(found: DataFrame, schema: T.StructType, form: Form = RAW) -> DataFrame:

@@ -134,3 +134,17 @@ def test_headered_in_ranges(spark, tmp_path, small_ranges):
         (tmp_path / name).write_text('"co ""x""",text\n' + "".join(f'{name}{k},"line é\nnext, {k}"\n' for k in range(30)), encoding="utf-8")
     rows = R.scan_headered(spark, str(tmp_path)).collect()
     assert {(r['co "x"'], r["text"]) for r in rows} == {(f"{n}{k}", f"line é\nnext, {k}") for n in ("a.csv", "b.csv") for k in range(30)}
+
+
+def test_lines_are_not_sorted_and_only_records_over_an_end_meet(spark, tmp_path, small_ranges):
+    small_ranges(60)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        text = "".join(f'{k};"one\n\n{k}";x\n' + "\n" * (k % 3 == 0) for k in range(60)) + "k;" + '"a\nb";' * 20 + "\n9;z;"
+        (tmp_path / "things").write_text(text)
+        rows = R.numbered_rows(spark, [str(tmp_path / "things")], TABLE)
+        assert read(spark, str(tmp_path / "things")) == wanted(text)
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan and "Sort" not in plan and plan.count("Aggregate") == 1
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

@@ -171,15 +171,16 @@ note_rows AS (
 def _notes(spark: SparkSession, sf_dir: str) -> str:
     """Raw files of so many orders each, their records in order."""
     line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_returnflag")
-    text = F.concat(
-        F.lit('say "'), "l_returnflag", F.lit('"; line '), F.col("l_orderkey").cast("string"), F.lit("\n"), F.lit("cargo; " * 30), F.col("l_linenumber").cast("string")
-    )
+    said = F.concat(F.lit('say "'), "l_returnflag", F.lit('"; line '), F.col("l_orderkey").cast("string"))
+    cargo = F.concat(F.lit("\n" + "cargo; " * 30), F.col("l_linenumber").cast("string"))
     key = F.when(F.col("l_partkey") % 50 == 0, " ").otherwise(F.concat_ws("-", "l_orderkey", "l_linenumber"))
-    record = F.concat(key, F.lit(';"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('";x'))
+    record = F.concat(key, F.lit(';"'), F.replace(said, F.lit('"'), F.lit('""')), cargo, F.lit('";x'))
+    file = F.floor(F.col("l_orderkey") / _PER_FILE)
     blank = F.when((F.col("l_orderkey") % 7 == 0) & (F.col("l_linenumber") == 1), F.lit("\n")).otherwise("")
-    rows = line.select(F.floor(F.col("l_orderkey") / _PER_FILE).alias("file"), "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", F.concat(record, blank).alias("value"))
+    # Records are put together after the shuffle: only what they are made of crosses it.
+    rows = line.repartition(file).withColumn("file", file).sortWithinPartitions("file", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
     path = work_dir(spark, "raw-notes")
-    rows.repartition("file").sortWithinPartitions("file", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice").select("value", "file").write.partitionBy("file").text(path)
+    rows.select(F.concat(record, blank).alias("value"), "file").write.partitionBy("file").text(path)
     return path
 
 
