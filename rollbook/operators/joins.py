@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 SALTS = 16
 
 
-def join_unique(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner", salts: int = 1, merge: bool = False) -> DataFrame:
+def join_unique(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner", salts: int = 1, merge: bool = False, hashed: bool = False) -> DataFrame:
     """Join many facts to a table that is unique on ``key`` (``how``: inner or left).
 
     Spark picks broadcast or sort-merge by size, and adaptive execution splits a key that is too frequent.
@@ -19,9 +19,12 @@ def join_unique(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner",
     ``merge`` is for a ``dim`` that grows with the facts: Spark knows its size from the bytes of its columns in the file, which may
     be a twentieth of what they take in memory, and would broadcast it through the driver. Salted copies, which it does
     not count at all, are always merged.
+
+    ``hashed`` shuffles both sides and keeps a task's share of ``dim`` in a hash table: wide facts stream past it, so that no task sorts
+    them, nor spills them, however many have one key. Such a key is split as in a merge. ``dim`` must be unique, and a share of it fit in a task.
     """
     if salts == 1:
-        return facts.join(dim.hint("merge") if merge else dim, key, how)
+        return facts.join(dim.hint("merge") if merge else dim.hint("shuffle_hash") if hashed else dim, key, how)
     salt = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
     copies = dim.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return facts.withColumn("__salt", salt).join(copies.hint("merge"), [key, "__salt"], how).drop("__salt")

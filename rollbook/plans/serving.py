@@ -55,7 +55,8 @@ def build_serving(tables: Mapping[str, DataFrame | None]) -> DataFrame:
     their join is not skewed.
     Only branches can pile up on one company. Adaptive execution splits such a company where both sides of the
     join come straight from a shuffle that the join asked for, and nothing after it needs its partitioning. So
-    the company key is made a new value, which hides how company rows lie already. Branches without a company are dropped. ``run_key`` and ``updated_at`` are the
+    the company key is made a new value, which hides how company rows lie already. Companies are hashed and branches stream past them: a task's
+    memory does not grow with the branches of one company. Branches without a company are dropped. ``run_key`` and ``updated_at`` are the
     company's. Without companies or branches there is nothing to serve: ``CheckFailed``.
     """
     for name in ("empresas", "estabelecimentos"):
@@ -74,7 +75,7 @@ def build_serving(tables: Mapping[str, DataFrame | None]) -> DataFrame:
     branch = tables["estabelecimentos"].drop("run_key", "created_at", "updated_at")
     branch = _decoded(branch, tables, BRANCH_CODES)
 
-    wide = join_unique(branch, company, "cnpj_basico")
+    wide = join_unique(branch, company, "cnpj_basico", hashed=True)
     wide = wide.withColumn("cnpj_completo", composite_key("cnpj_basico", "cnpj_ordem", "cnpj_dv"))
     return wide.select(*SERVING_COLUMNS)
 
@@ -83,6 +84,9 @@ def laid_out(serving: DataFrame) -> DataFrame:
     """Rows arranged for writing by state: ranges over (state, full key), sorted within.
 
     The full key is unique, so neither a large state nor a company with very many branches ends up in
-    one task, and each file covers a narrow key range that point lookups can skip by its statistics.
+    one task, and each file covers a narrow key range that point lookups can skip by its statistics. The full key does not
+    cross the shuffle: it is put together from its parts on either side.
     """
-    return serving.repartitionByRange("uf", "cnpj_completo").sortWithinPartitions("uf", "cnpj_completo")
+    key = composite_key("cnpj_basico", "cnpj_ordem", "cnpj_dv")
+    dealt = serving.drop("cnpj_completo").repartitionByRange("uf", key).withColumn("cnpj_completo", key)
+    return dealt.sortWithinPartitions("uf", "cnpj_completo").select(serving.columns)

@@ -199,3 +199,12 @@ def test_trigrams_of_short_text(spark):
     assert not got[1] and got[3] is None and not got[4]
     assert sorted(got[2]) == ["abc", "bca", "cab"]
     assert got[5] == ["a\nb", "\nb😀", "b😀c"]
+
+
+def test_branches_stream_past_their_companies(spark, tables, small_tasks):
+    """No task sorts the branches for the company join, whose size is that of its largest company."""
+    served = build_serving(tables)
+    served.collect()
+    plan = served._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join [cnpj_basico" in line and "Inner" in line]
+    assert joins and all("ShuffledHashJoin" in line for line in joins)
