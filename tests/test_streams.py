@@ -3,11 +3,14 @@
 import json
 from datetime import datetime
 
+import pyarrow.parquet as pq
+
 from rollbook.operators.ledger import EVENT_SCHEMA, step_rollup
 from rollbook.streaming import arrivals as A
 from rollbook.streaming import jobs as J
 from rollbook.streaming.status import keep_latest
 from tests.helpers import rows
+from workload import loads
 
 
 class Steps:
@@ -129,3 +132,14 @@ def test_jobs_share_a_state_entry(spark, tmp_path):
     assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 1
     report = J.whole_rollup(spark.read.parquet(str(tmp_path / "batches")))
     assert sorted(r["job_id"] for r in report.collect()) == [f"j{k}" for k in range(5)]
+
+
+def test_a_micro_batch_of_the_rollup_has_many_files(spark, tmp_path, monkeypatch):
+    found = []
+    monkeypatch.setattr(loads, "work_dir", lambda _, purpose: str(tmp_path / purpose))
+    monkeypatch.setattr(loads, "keep_latest", lambda *args: found.append(keep_latest(*args)) or found[0])
+    loads.stream_rollup(spark, "/root/testdata/sf0.001")
+    files = [len(pq.read_table(p)) for p in (tmp_path / "rollup/events").glob("*.parquet")]
+    assert len(files) == 3 * loads.BATCH_FILES > 3 and max(files) < sum(files) / 3
+    progress = [p.numInputRows for p in found[0].recentProgress if p.numInputRows]
+    assert len(progress) == 3 and sum(progress) == sum(files)

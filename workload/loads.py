@@ -124,13 +124,17 @@ def merge_changed_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current.select(*ESTABELECIMENTOS.key, "situacao_cadastral", "op", "run_key")
 
 
+#: Files of a micro-batch of ``stream_rollup``, so that as many tasks write and read it.
+BATCH_FILES = 16
+
+
 @query("stream_rollup", sql("run_events", _ROLLUP.format(source="run_events")))
 def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The step rollup kept up to date by a stream of events, one file a micro-batch: state is carried on."""
+    """The step rollup kept up to date by a stream of events in three micro-batches of many files: state is carried on."""
     root = work_dir(spark, "rollup")
     events = table(spark, sf_dir, "events")
-    events.repartition(3, "event_id").write.parquet(f"{root}/events")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/events")
+    events.repartition(3 * BATCH_FILES, "event_id").write.parquet(f"{root}/events")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", BATCH_FILES).parquet(f"{root}/events")
     rollup = live_rollup(roles.run_events(stream), ORDER)
     keep_latest(rollup, f"{root}/batches", f"{root}/checkpoint").awaitTermination()
     return times(latest_rows(spark.read.parquet(f"{root}/batches")).drop("first_write"))
