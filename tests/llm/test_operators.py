@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, and with nulls, empty and long texts, ties, repeats and odd columns."""
 
 import hashlib
+import pathlib
 import re
 
 import numpy as np
@@ -426,3 +427,69 @@ def test_dense_seeds_hold_for_every_passage():
 def test_passages_of_periodic_texts_are_not_given_for_every_shift(spark):
     found = passages_of(spark, (1, [*fresh("a", 30), *["the"] * 150, *fresh("b", 30)]), (2, [*fresh("c", 20), *["the"] * 400, *fresh("d", 20)]))
     assert set().union(*(range(x[2], x[3]) for x in found)) == set(range(20, 420)) and len(found) < 8
+
+
+def test_shared_seeds_cross_their_shuffles_packed(spark, monkeypatch):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [pathlib.Path(str(f)) for f in manager.localDirs()]
+    there = lambda: {f: f.stat().st_size for d in folders for f in d.glob("*/shuffle_*.data") if f.exists()}
+    before, most, settle = there(), [], passages.settle
+
+    def watched(df, purpose):
+        out = settle(df, purpose)
+        most.append(sum(size for f, size in there().items() if f not in before))
+        return out
+
+    monkeypatch.setattr(passages, "settle", watched)
+    texts = [" ".join(VOCABULARY[k] for k in RANDOM.integers(0, len(VOCABULARY), 700)) for _ in range(300)]
+    texts[200] = texts[3][:3000] + texts[200]
+    found = passages.repeated_passages(spark.createDataFrame([(k, t, None, None, None) for k, t in enumerate(texts)], SCHEMA)).collect()
+    assert [(r.doc_id, r.other_id, r.start_word, r.other_start) for r in found] == [(200, 3, 0, 0)]
+    assert max(most) < 1.7 * sum(map(len, texts))
+
+
+def test_groups_beyond_a_block_give_the_same_pairs(spark, monkeypatch):
+    base = fresh("t", 60)
+    rows = [(k, [*fresh(f"a{k}", 30), *base[: 50 + k], f"e{k}", *fresh(f"b{k}", 30)]) for k in range(9)]
+    want = passages_of(spark, *rows)
+    monkeypatch.setattr(passages, "BLOCK", 2)
+    monkeypatch.setattr(passages, "HOME", 2)
+    assert passages_of(spark, *rows) == want and {x[:2] for x in want} == {(j, k) for j in range(9) for k in range(j)}
+
+
+def test_no_pair_with_a_passage_is_lost_by_its_neighbours():
+    """Words of a passage keep so many neighbours, and codes that many texts have are counted as others are."""
+    for _ in range(400):
+        n = int(RANDOM.integers(40, 130))
+        text = RANDOM.integers(0, 1 << 30, n).astype(np.uint32)
+        edits = np.sort(RANDOM.choice(n, n // 5, replace=False)) if RANDOM.random() < 0.5 else np.arange(n // 5) * 5 + 4
+        other = text.copy()
+        other[edits] += 1
+        assert passages.alike(passages.Pivot(other).beside(text)[None]).all()
+    import pyarrow as pa
+
+    line, lists = RANDOM.integers(0, 1 << 16, 30), []
+    for k in range(300):
+        own = RANDOM.integers(0, 1 << 16, 60)
+        lists.append(np.concatenate([own[:30], line[: 12 + k % 12], own[30:]]).astype(np.uint16))
+    lists[250] = np.concatenate([lists[7][:20], lists[250][20:40], lists[7][20:]]).astype(np.uint16)
+
+    def pairs():
+        columns = [pa.array(np.full(300, v)) for v in (5, 0, 0, 0)] + [pa.array(np.arange(300)), pa.array([x.tobytes() for x in lists], pa.binary())]
+        batch = pa.RecordBatch.from_arrays(columns, names=["first", "low", "high", "block", "doc", "codes"])
+        return {(r["doc"], r["pivot"]) for b in passages._pair_rows([batch]) for r in b.to_pylist()}
+
+    def brute():
+        for i in range(300):
+            for j in range(i):
+                here = np.isin(lists[i], lists[j])
+                if sum(int((lists[j] == c).sum()) for c in lists[i]) >= passages.MIN_PAIRS and passages.alike(here[None])[0]:
+                    yield i, j
+
+    want = set(brute())
+    assert (250, 7) in want and pairs() == want
+    heavy, passages.HEAVY = passages.HEAVY, 0
+    try:
+        assert pairs() == want
+    finally:
+        passages.HEAVY = heavy
